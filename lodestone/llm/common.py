@@ -35,6 +35,18 @@ def with_row_key(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """_row, _src (a struct of all columns) and _0, _1, ... (the named columns): no name of docs can clash with an operator's."""
+    return docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_src"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)])
+
+
+def unpacked(out: DataFrame, docs: DataFrame, added: dict[str, Column], changed: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of docs (some changed), then what an operator adds; of equal names the added one stays."""
+    changed = changed or {}
+    kept = [changed.get(c, F.col("_src").getField(c)).alias(c) for c in docs.columns if c not in added]
+    return out.select(*kept, *[v.alias(k) for k, v in added.items()])
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of spark.checkpoint.dir (a temporary one where unset, as in tests)."""
     context = df.sparkSession.sparkContext
@@ -52,8 +64,3 @@ def joined_small(big: DataFrame, small: DataFrame, on, how: str = "inner", most:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def restored(out: DataFrame, like: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Only the columns of `like` (and `extra`), in its order."""
-    return out.select(*[F.col(f"`{c}`") for c in like.columns], *extra)

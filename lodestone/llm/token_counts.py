@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import table
 
 #: States kept before the compiled part is dropped and compiled anew; bounds a worker's memory.
-MOST_STATES = 150_000
+MOST_STATES = 300_000
 CHUNK = 1 << 15
 
 
