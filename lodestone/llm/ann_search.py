@@ -22,7 +22,7 @@ from lodestone.llm.common import cut, table
 SAMPLE = 20_000
 MOST_LISTS, CODES, PART = 65_536, 256, 4
 #: Lists visited: this share of all, at least LEAST_PROBES. Entries of a list that are reranked exactly, for each query.
-PROBES, LEAST_PROBES, RERANK = 0.6, 16, 40
+PROBES, LEAST_PROBES, RERANK = 0.75, 16, 40
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
