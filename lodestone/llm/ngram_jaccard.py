@@ -186,6 +186,8 @@ def _candidates(nodes: DataFrame, need: list[int]) -> DataFrame:
                 v = lists[k].values
                 num = v.field("num").to_numpy(zero_copy_only=False)
                 sig = np.frombuffer(b"".join(v.field("sig").to_pylist()), np.uint8).reshape(len(num), -1)
+                order = np.argsort(num)  # so that buckets of one group agree on their pivot, and edges repeat
+                num, sig = num[order], sig[order]
                 for i, j in forest(len(num), lambda i, rest: survivors(sig, i, rest, need)):
                     a.append(num[i]), z.append(num[j])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
@@ -225,6 +227,8 @@ def _verified(texts: DataFrame, words: int, threshold: float) -> DataFrame:
                 held = full.astype(np.int64) @ copies
                 for x in np.flatnonzero(held):
                     one.append(num[x]), two.append(None), links.append(held[x])
+                order = np.argsort(num)
+                num, full = num[order], full[np.ix_(order, order)]
                 for x, y in forest(len(num), lambda x, rest: rest[full[x, rest]]):
                     one.append(num[x]), two.append(num[y]), links.append(None)
             yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
