@@ -2,8 +2,10 @@
 
 Vectors are assigned to coarse centroids; what is left of each is quantised by
 parts. A query visits the lists of its best centroids, scores their codes by
-asymmetric distance tables, and reranks the best of each list exactly on the
-original vectors. Equal vectors are one entry of the index with the smallest
+asymmetric distance tables, and reranks the best exactly on the original
+vectors. The index is dealt into blocks of bounded size, each of which holds a
+part of every list, so that no list is too large; the query set meets it block
+against block. Equal vectors are one entry of the index with the smallest
 ids that any query can need, which loses nothing.
 """
 
@@ -21,8 +23,10 @@ from lodestone.llm.common import cut, table
 #: Vectors that centroids and codebooks are fitted on; every vector is indexed.
 SAMPLE = 20_000
 MOST_LISTS, CODES, PART = 65_536, 256, 4
-#: Lists visited: this share of all, at least LEAST_PROBES. Entries of a list that are reranked exactly, for each query.
-PROBES, LEAST_PROBES, RERANK = 0.75, 16, 40
+#: Lists visited: this share of all, at least LEAST_PROBES. Entries of an index block that are reranked exactly, for each query.
+PROBES, LEAST_PROBES, RERANK = 0.75, 16, 256
+#: Entries of the index and queries that meet in one task, about.
+INDEX_BLOCK, QUERY_BLOCK = 8192, 1024
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -63,11 +67,15 @@ class Index:
         scores = q @ self.centers.T
         return np.argpartition(-scores, self.probes - 1, axis=1)[:, : self.probes]
 
-    def scores(self, q: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
+    def tables(self, q: np.ndarray) -> list[np.ndarray]:
+        """For each part, the inner products of the queries with all codes."""
+        return [(q[:, p] @ book.T).astype(np.float32) for p, book in zip(self.parts, self.books)]
+
+    def scores(self, q: np.ndarray, tables: list[np.ndarray], cell: int, codes: np.ndarray) -> np.ndarray:
         """Inner products of queries with coded vectors of a list, by tables."""
-        out = np.repeat((q @ self.centers[cell])[:, None], len(codes), 1)
-        for m, (p, book) in enumerate(zip(self.parts, self.books)):
-            out += (q[:, p] @ book.T)[:, codes[:, m]]
+        out = np.repeat((q @ self.centers[cell]).astype(np.float32)[:, None], len(codes), 1)
+        for m, table_ in enumerate(tables):
+            out += table_[:, codes[:, m]]
         return out
 
 
@@ -100,52 +108,56 @@ def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
     sample = entries.orderBy(F.xxhash64("v"), "num").limit(SAMPLE).select("v").toPandas()["v"]
     index = spark.sparkContext.broadcast(Index(np.stack(sample.to_list()).astype(np.float64), min(MOST_LISTS, max(1, math.isqrt(entries.count())))))
 
+    blocks, asking = max(1, -(-entries.count() // INDEX_BLOCK)), max(1, -(-asked.select("num").distinct().count() // QUERY_BLOCK))
+
     def coded(batches):
         import pyarrow as pa
 
         for b in batches:
             if not b.num_rows:
                 continue
-            num, first, v = b.column(0).to_numpy(), b.column(1).to_numpy(), _matrix(b.column(2), dim)
+            block, num, first, v = (*(b.column(i).to_numpy() for i in range(3)), _matrix(b.column(3), dim))
             cells, codes = index.value.encoded(v)
-            rows = [(int(c), at := np.flatnonzero(cells == c)) for c in np.unique(cells)]
-            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int64()), *(pa.array([a[at].tobytes() for _, at in rows], pa.binary()) for a in (num, first, codes, v))], names=["cell", "num", "first", "codes", "v"])
-
-    def probing(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            if not b.num_rows:
-                continue
-            num, v = b.column(0).to_numpy(), _matrix(b.column(1), dim)
-            cells = index.value.probed(v)
-            who = np.repeat(np.arange(len(num)), cells.shape[1])
-            cells = cells.ravel()
-            order = np.argsort(cells, kind="stable")
-            found, starts = np.unique(cells[order], return_index=True)
-            groups = np.split(who[order], starts[1:])
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array([num[g].tobytes() for g in groups], pa.binary()), pa.array([v[g].tobytes() for g in groups], pa.binary())], names=["cell", "qnum", "q"])
-
-    def searched(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            out = {"qnum": [], "score": [], "first": [], "num": []}
-            for cell, num, first, codes, v, qnum, q in zip(*(c.to_pylist() for c in b.columns)):
-                num, first, qnum = (np.frombuffer(t, np.int64) for t in (num, first, qnum))
-                v, q = (np.frombuffer(t, np.float64).reshape(-1, dim) for t in (v, q))
-                rough = index.value.scores(q, cell, np.frombuffer(codes, np.uint8).reshape(len(num), -1))
-                n = min(RERANK, len(num))
-                best = np.argpartition(-rough, n - 1, axis=1)[:, :n]
-                exact = np.einsum("qd,qnd->qn", q, v[best])
-                for i in range(len(qnum)):
-                    order = np.lexsort((first[best[i]], -exact[i]))[: k + 1]
-                    out["qnum"].append(qnum[i]), out["score"].append(exact[i][order]), out["first"].append(-first[best[i]][order]), out["num"].append(num[best[i]][order])
-            yield pa.RecordBatch.from_arrays([pa.array(out["qnum"], pa.int64()), pa.array(out["score"], pa.list_(pa.float64())), pa.array(out["first"], pa.list_(pa.int64())), pa.array(out["num"], pa.list_(pa.int64()))], names=list(out))
-
-    lists = entries.select("num", F.col("ids")[0].alias("first"), "v").mapInArrow(coded, "cell long, num binary, first binary, codes binary, v binary")
-    probes = entries.select("num", "v").join(asked.select("num").distinct(), "num").mapInArrow(probing, "cell long, qnum binary, q binary")
-    found = lists.join(probes, "cell").mapInArrow(searched, "qnum long, score array<double>, first array<long>, num array<long>")
+            rows = [np.flatnonzero(block == s) for s in np.unique(block)]
+            yield pa.RecordBatch.from_arrays([pa.array([block[at[0]] for at in rows], pa.int64()), *(pa.array([a[at].tobytes() for at in rows], pa.binary()) for a in (num, first, cells, codes, v))], names=["block", "num", "first", "cells", "codes", "v"])
+
+    def searched(_, lists, queries):
+        """The nearest of one block of the index for one block of queries."""
+        import pandas as pd
+
+        names = ["qnum", "score", "first", "num"]
+        if not len(lists) or not len(queries):
+            return pd.DataFrame({c: [] for c in names})
+        num, first, cells = (np.frombuffer(b"".join(lists[c]), np.int64) for c in ("num", "first", "cells"))
+        codes, v = np.frombuffer(b"".join(lists["codes"]), np.uint8).reshape(len(num), -1), np.frombuffer(b"".join(lists["v"])).reshape(-1, dim)
+        order = np.argsort(cells, kind="stable")
+        num, first, cells, codes, v = num[order], first[order], cells[order], codes[order], v[order]
+        q = np.stack(queries["v"].to_list()).astype(np.float64)
+        visits = np.zeros((len(q), len(index.value.centers)), bool)
+        np.put_along_axis(visits, index.value.probed(q), True, 1)
+        rough = np.full((len(q), len(num)), -np.inf, np.float32)
+        tables = index.value.tables(q)
+        for cell in np.unique(cells):
+            a, z = np.searchsorted(cells, [cell, cell + 1])
+            who = np.flatnonzero(visits[:, cell])
+            if len(who):
+                rough[who, a:z] = index.value.scores(q[who], [t[who] for t in tables], cell, codes[a:z])
+        n = min(RERANK, len(num))
+        best = np.argpartition(-rough, n - 1, axis=1)[:, :n]
+        out = {c: [] for c in names}
+        for i, qnum in enumerate(queries["num"]):
+            at = best[i][np.isfinite(rough[i, best[i]])]
+            exact = v[at] @ q[i]
+            top = np.lexsort((first[at], -exact))[: k + 1]
+            out["qnum"].append(qnum), out["score"].append(exact[top]), out["first"].append(-first[at][top]), out["num"].append(num[at][top])
+        return pd.DataFrame(out)
+
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    lists = entries.select(F.pmod(F.xxhash64("num"), F.lit(blocks)).alias("block"), "num", F.col("ids")[0].alias("first"), "v").mapInArrow(coded, "block long, num binary, first binary, cells binary, codes binary, v binary")
+    lists = lists.withColumn("asking", spread(asking))
+    queries = entries.select("num", "v").join(asked.select("num").distinct(), "num").withColumn("asking", F.pmod(F.xxhash64("num"), F.lit(asking))).withColumn("block", spread(blocks))
+    found = queries.groupBy("asking", "block")
+    found = lists.groupBy("asking", "block").cogroup(found).applyInPandas(searched, "qnum long, score array<double>, first array<long>, num array<long>")
     best = found.groupBy("qnum").agg(F.flatten(F.collect_list(F.arrays_zip("score", "first", "num"))).alias("a")).select("qnum", F.slice(F.sort_array("a", asc=False), 1, k + 1).alias("a"))
     near = best.select("qnum", F.inline("a")).join(entries.select("num", "ids"), "num").groupBy("qnum").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("neg"), i.alias("id"))))).alias("a"))
     near = near.select(F.col("qnum").alias("num"), F.slice(F.array_sort("a"), 1, k + 1).alias("a"))
