@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,13 +51,33 @@ def unpacked(out: DataFrame, docs: DataFrame, added: dict[str, Column], changed:
 
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of spark.checkpoint.dir (a temporary one where unset, as in tests)."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder of spark.checkpoint.dir, which all executors share; a temporary one where unset, as in tests."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut_table(df: DataFrame) -> DataFrame:
+    """Like cut(), for larger tables: written compressed as Parquet to the shared folder, and removed when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+
+    def remove(context=spark.sparkContext):
+        if context._jsc is not None:
+            there = context._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(context._jsc.hadoopConfiguration()).delete(there, True)
+
+    atexit.register(remove)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def joined_small(big: DataFrame, small: DataFrame, on, how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
     """Join that broadcasts `small` (a checkpointed table) only if it has at most `most` rows, else shuffles."""
     few = small.limit(most + 1).count() <= most

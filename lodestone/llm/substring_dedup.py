@@ -1,6 +1,6 @@
 """Substring dedup by content-defined chunks.
 
-A gear rolling hash over the last 16 bytes places chunk ends, so an insertion
+A gear rolling hash over the last 8 bytes places chunk ends, so an insertion
 moves only the chunks that touch it. Chunks are compared by digest over all
 documents; where consecutive chunks that occurred earlier span at least
 `min_bytes`, they are deleted. Hashes are computed for a whole text at once by
@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import cut, table, with_row_key
+from lodestone.llm.common import cut_table, table, with_row_key
 
 #: Mean distance of places where a chunk may end, least and greatest bytes of a chunk, least bytes of a deleted run.
-MEAN, LEAST, MOST, MIN_BYTES = 24, 8, 256, 128
+MEAN, LEAST, MOST, MIN_BYTES = 24, 4, 256, 96
 
 _seed = np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _seed = (_seed ^ (_seed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -28,7 +29,7 @@ def chunk_ends(data: bytes, mean: int = MEAN, least: int = LEAST, most: int = MO
     if not data:
         return []
     h = GEAR[np.frombuffer(data, np.uint8)]
-    for w in (1, 2, 4, 8):
+    for w in (1, 2, 4):
         more = h.copy()
         more[w:] += h[:-w] << np.uint32(w)
         h = more
@@ -47,39 +48,32 @@ def chunk_ends(data: bytes, mean: int = MEAN, least: int = LEAST, most: int = MO
 
 
 def _chunks(rows: DataFrame) -> DataFrame:
-    """_row, _id and the digests of the chunks, from _row, _id, text."""
+    """_row, _id and, of each chunk, the digest (d) and the place (at: start << 32 | length), from _row, _id, text."""
 
     def run(batches):
         import pyarrow as pa
         from xxhash import xxh3_64_intdigest as digest
 
         for b in batches:
-            out = []
+            out, places = [], []
             for t in b.column(2).to_pylist():
                 data = (t or "").encode(errors="replace")
                 ends = chunk_ends(data)
                 out.append([digest(data[a:e]) - (1 << 63) for a, e in zip([0, *ends], ends)])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64()))], names=["_row", "_id", "d"])
-
-    return rows.mapInArrow(run, f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, d array<long>")
-
-
-def deleted(data: bytes, ends: list[int], again: list[int], min_bytes: int = MIN_BYTES) -> list[tuple[int, int, int, int]]:
-    """(start, end, first chunk, last chunk) of runs of repeated chunks that are long enough, cut to whole characters."""
-    out, i = [], 0
-    while i < len(again):
-        j = i
-        while j + 1 < len(again) and again[j + 1] == again[j] + 1:
-            j += 1
-        a, e = ends[again[i] - 1] if again[i] else 0, ends[again[j]]
-        if e - a >= min_bytes:
-            while a < e and data[a] & 0xC0 == 0x80:
-                a += 1
-            while e > a and e < len(data) and data[e] & 0xC0 == 0x80:
-                e -= 1
-            out.append((a, e, i, j))
-        i = j + 1
-    return out
+                places.append([a << 32 | (e - a) for a, e in zip([0, *ends], ends)])
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, longs), pa.array(places, longs)], names=["_row", "_id", "d", "at"])
+
+    return rows.mapInArrow(run, f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, d array<long>, at array<long>")
+
+
+def trimmed(data: bytes, a: int, e: int) -> tuple[int, int]:
+    """The range cut to whole characters."""
+    while a < e and data[a] & 0xC0 == 0x80:
+        a += 1
+    while e > a and e < len(data) and data[e] & 0xC0 == 0x80:
+        e -= 1
+    return a, e
 
 
 def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -93,11 +87,17 @@ def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "
     kind = rows.schema["_id"].dataType.simpleString()
     chunks = _chunks(rows)
     often = chunks.select(F.explode("d").alias("d")).groupBy("d").count().where("count > 1").select("d")
-    placed = cut(chunks.select("_row", "_id", F.posexplode("d").alias("i", "d")).join(often, "d"))
-    place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "i")
-    first = cut(placed.groupBy("d").agg(F.min(place).alias("first")))
-    later = placed.join(first, "d").where(place != F.col("first")).select("_row", F.struct("i", F.col("first._id").alias("of")).alias("c"))
-    later = later.groupBy("_row").agg(F.array_sort(F.collect_list("c")).alias("c"))
+    # at: start and length of a chunk in one long, which also orders the chunks of a text.
+    pieces = chunks.select("_row", "_id", F.explode(F.arrays_zip("d", "at")).alias("z")).select("_row", "_id", F.col("z.d").alias("d"), F.col("z.at").alias("at"))
+    placed = cut_table(pieces.join(often, "d"))
+    place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "at")
+    first = cut_table(placed.groupBy("d").agg(F.min(place).alias("first")))
+    start = F.shiftright("at", 32)
+    later = placed.join(first, "d").where(place != F.col("first")).select("_row", start.alias("start"), (start + F.col("at").bitwiseAND(0xFFFFFFFF)).alias("end"), F.col("first._id").alias("of"))
+    by_place = W.partitionBy("_row").orderBy("start")
+    later = later.withColumn("new", F.coalesce(F.col("start") != F.lag("end").over(by_place), F.lit(True)).cast("long"))
+    runs = later.withColumn("run", F.sum("new").over(by_place)).groupBy("_row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.collect_set("of").alias("of"))
+    runs = runs.where(F.col("end") - F.col("start") >= min_bytes).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("of")))).alias("of"))
 
     def run(batches):
         import pyarrow as pa
@@ -105,22 +105,21 @@ def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "
         for b in batches:
             names = ["_id", "text", "n_bytes", "dup_bytes", "spans", "dup_of"]
             out = {c: [] for c in names}
-            for id_, text, c in zip(*(b.column(k).to_pylist() for k in range(3))):
+            for id_, text, found, of in zip(*(b.column(k).to_pylist() for k in range(4))):
                 data = (text or "").encode(errors="replace")
-                spans = deleted(data, chunk_ends(data), [x["i"] for x in c], min_bytes) if c else []
+                spans = [trimmed(data, x["start"], x["end"]) for x in found or []]
                 kept, last = [], 0
-                for a, e, _, _ in spans:
+                for a, e in spans:
                     kept.append(data[last:a])
                     last = e
                 kept.append(data[last:])
-                of = {x["of"] for _, _, i, j in spans for x in c[i : j + 1]} - {None}
-                for k, v in zip(names, (id_, text if not spans else b"".join(kept).decode(), len(data), sum(e - a for a, e, _, _ in spans), [{"start": a, "end": e} for a, e, _, _ in spans], sorted(of))):
+                for k, v in zip(names, (id_, text if not spans else b"".join(kept).decode(), len(data), sum(e - a for a, e in spans), [{"start": a, "end": e} for a, e in spans], of or [])):
                     out[k].append(v)
             id_type = b.schema.field(0).type
             types = [id_type, pa.string(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(id_type)]
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(names, types)], names=names)
 
-    joined = rows.join(later, "_row", "left").select("_id", "text", "c")
+    joined = rows.join(runs, "_row", "left").select("_id", "text", "runs", "of")
     out = joined.mapInArrow(run, f"_id {kind}, text string, n_bytes long, dup_bytes long, spans array<struct<start:long,end:long>>, dup_of array<{kind}>")
     return out.select(F.col("_id").alias(id_col), "text", "n_bytes", "dup_bytes", "spans", "dup_of", (F.col("dup_bytes") > 0).alias("is_dup"))
 
