@@ -14,11 +14,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import table
+from lodestone.llm.common import cut_table, table
 
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-#: Words of the unigram model and tokens of the classifier, the most frequent ones; longest word.
-LEXICON, VOCABULARY, LONGEST = 50_000, 50_000, 24
+#: The unigram model has the words that make up at least 1 / LEXICON of all words, the classifier the tokens that make up
+#: 1 / VOCABULARY of all tokens: so there are at most as many. Longest word.
+LEXICON, VOCABULARY, LONGEST = 200_000, 200_000, 24
 #: Words that the unigram model knows whatever the pages hold.
 KNOWN = ("spam", "farm", "cheap", "pills", "casino", "poker", "bonus", "free", "win", "loan", "news", "blog", "shop", "forum", "mail", "wiki", "docs", "data")
 
@@ -84,11 +85,12 @@ def ruled(urls: DataFrame, rules=RULES) -> DataFrame:
 
 
 def lexicon(pages: DataFrame, most: int = LEXICON, text_col: str = "html") -> dict[str, int]:
-    """The most frequent words of the pages' texts, markup left out, with their counts."""
+    """The words of the pages' texts, markup left out, that make up at least 1 / most of all, with their counts."""
     text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
     w = pages.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("w")).where(F.length("w").between(2, LONGEST))
-    top = w.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most)
-    out = {r["w"]: r["count"] for r in top.collect()}
+    counts = cut_table(w.groupBy("w").count())
+    least = (counts.agg(F.sum("count")).head()[0] or 0) / most
+    out = {r["w"]: r["count"] for r in counts.where(F.col("count") >= least).orderBy("w").collect()}
     most_seen = max(out.values(), default=1)
     return {w: max(1, most_seen // 100) for w in KNOWN} | out
 
@@ -114,7 +116,9 @@ def trained(urls: DataFrame, segmenter: Segmenter, most: int = VOCABULARY) -> di
 
     rows = _tokenised(urls.where("action is not null").select("host", "path", "action"), segmenter, "t array<string>, block long", work)
     counts = rows.select(F.explode(F.concat("t", F.array(F.lit("")))).alias("t"), "block").groupBy("t").agg(F.count("*").alias("n"), F.sum("block").alias("b"))
-    found = {r["t"]: (r["b"], r["n"] - r["b"]) for r in counts.orderBy(F.desc("n"), "t").limit(most + 1).collect()}
+    counts = cut_table(counts)
+    least = (counts.agg(F.sum("n")).head()[0] or 0) / most
+    found = {r["t"]: (r["b"], r["n"] - r["b"]) for r in counts.where((F.col("n") >= least) | (F.col("t") == "")).collect()}
     blocked, allowed = found.pop("", (0, 0))
     v = len(found) + 1
     tb, ta = sum(b for b, _ in found.values()) + v, sum(a for _, a in found.values()) + v
