@@ -1,6 +1,354 @@
-"""The engine's own queries: name -> callable(spark, sf_dir), and the SQL that says the same."""
+"""The engine's own queries: name -> callable(spark, sf_dir), and the SQL that says the same.
+
+Adapters read the driver's tables as the registry's: pages as candidate urls,
+lineitem as slides of decks, documents with labels as files, events as fetches.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from lodestone.functions import decks as D
+from lodestone.functions import screens as S
+from lodestone.functions import urls as U
+from lodestone.operators import dedup, events as E, filtering, packaging, registry as R
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+SOURCES = ("commoncrawl", "zenodo", "federal", "wayback_cdx", "generic")
+BLOCKED = ("spam-farm.example.org", "cheap-pills.example.com", "example.info")
+
+
+def urls(spark, d) -> DataFrame:
+    p = table(spark, d, "pages").select(F.col("page_id").alias("id"), "url")
+    pick = F.element_at(F.array(*map(F.lit, SOURCES)), (F.col("id") % 5 + 1).cast("int"))
+    return p.withColumn("domain", U.domain(F.col("url"))).withColumn("tier", (F.col("id") % 7 + 1).cast("int")).withColumn("discovery_source", pick).withColumn("status", F.when(F.col("id") % 3 == 0, "parked").when(F.col("id") % 11 == 0, "delivered").otherwise("discovered"))
+
+
+URLS = """urls AS (SELECT page_id AS id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS domain, CAST(page_id % 7 + 1 AS INTEGER) AS tier,
+ ['commoncrawl','zenodo','federal','wayback_cdx','generic'][1 + page_id % 5] AS discovery_source, CASE WHEN page_id % 3 = 0 THEN 'parked' WHEN page_id % 11 = 0 THEN 'delivered' ELSE 'discovered' END AS status FROM pages)"""
+BLOCKED_SQL = """blocked AS (SELECT id, first(e ORDER BY length(e) DESC) AS entry FROM urls, (VALUES ('spam-farm.example.org'), ('cheap-pills.example.com'), ('example.info')) b(e) WHERE domain = e OR domain LIKE '%.' || e GROUP BY id)"""
+REASONS = f"""{URLS}, {BLOCKED_SQL},
+st AS (SELECT urls.*, CASE WHEN NOT regexp_matches(url, '^https?://[^/?#]+') THEN 'malformed_url' WHEN entry IS NOT NULL THEN 'blocklist' WHEN discovery_source = 'federal' THEN 'excluded_source'
+ WHEN NOT (discovery_source LIKE 'wayback%' OR discovery_source LIKE 'zenodo%') AND NOT ends_with(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)), '.html') THEN 'extension' ELSE 'kept' END AS s FROM urls LEFT JOIN blocked USING (id)),
+r AS (SELECT id, domain, discovery_source, CASE WHEN s = 'kept' AND row_number() OVER (PARTITION BY domain, s ORDER BY id) > 3 THEN 'domain_cap' ELSE s END AS reason FROM st)"""
+
+
+def _blocked(spark) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, BLOCKED))).alias("entry"))
+
+
+@query(f"WITH {REASONS} SELECT id, domain, reason FROM r")
+def url_filter_reasons(spark, d):
+    return filtering.filter_reasons(urls(spark, d), _blocked(spark), (".html",), 3, ("federal",)).select("id", "domain", "reason")
+
+
+@query(f"WITH {REASONS} SELECT discovery_source, reason, count(*) AS n FROM r GROUP BY ALL")
+def url_filter_summary(spark, d):
+    return filtering.filter_reasons(urls(spark, d), _blocked(spark), (".html",), 3, ("federal",)).groupBy("discovery_source", "reason").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {URLS}, {BLOCKED_SQL} SELECT id, entry FROM blocked")
+def blocklist_hits(spark, d):
+    return filtering.blocklist_entry(urls(spark, d), _blocked(spark))
+
+
+@query("""WITH RECURSIVE u AS (SELECT user_id, event_id, CASE WHEN event_id % 5 = 0 THEN 3 ELSE 6 END AS cap, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+r AS (SELECT user_id, event_id, k, cap > 0 AS kept, 1 AS n FROM u WHERE k = 1
+UNION ALL SELECT u.user_id, u.event_id, u.k, r.n < u.cap, r.n + CASE WHEN r.n < u.cap THEN 1 ELSE 0 END FROM r JOIN u ON u.user_id = r.user_id AND u.k = r.k + 1)
+SELECT event_id, kept FROM r""")
+def domain_cap_mixed(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", F.when(F.col("event_id") % 5 == 0, 3).otherwise(6).alias("cap"))
+    return filtering.mixed_caps(e, [3, 6], "user_id", "event_id").select("event_id", "kept")
+
+
+@query("""WITH h AS (SELECT event_id, [200, 403, 404, 429, 503, 200, 200][1 + event_id % 7] AS status, CASE WHEN event_type = 'view' THEN 'text/html; charset=utf-8' ELSE 'application/octet-stream' END AS ctype, CAST(value * 1000 AS BIGINT) AS clen FROM events)
+SELECT event_id, CASE WHEN status = 429 OR status >= 500 THEN 'retry' WHEN status >= 400 THEN 'ok' WHEN starts_with(ctype, 'text/html') THEN 'skip_html' WHEN clen < 10000 OR clen > 90000 THEN 'skip_size' ELSE 'ok' END AS verdict FROM h""")
+def head_verdicts(spark, d):
+    e = table(spark, d, "events")
+    status = F.element_at(F.array(*[F.lit(x) for x in (200, 403, 404, 429, 503, 200, 200)]), (F.col("event_id") % 7 + 1).cast("int"))
+    h = e.select("event_id", status.alias("status"), F.when(F.col("event_type") == "view", "text/html; charset=utf-8").otherwise("application/octet-stream").alias("ctype"), F.round(F.col("value") * 1000).cast("long").alias("clen"))
+    return h.select("event_id", E.head_verdict(F.col("status"), F.col("ctype"), F.col("clen"), 90_000, 10_000).alias("verdict"))
+
+
+LINKS = """WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']([^"'']+)["'']', 1)) AS link FROM pages),
+a AS (SELECT page_id, link, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link WHEN starts_with(link, '//') THEN regexp_extract(url, '^([a-z]+):', 1) || ':' || link ELSE regexp_extract(url, '^([a-z]+):', 1) || '://' || lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) || link END AS absolute FROM l)"""
+
+
+def _links(spark, d):
+    p = table(spark, d, "pages")
+    return p.select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit(r"""(?i)href\s*=\s*["']([^"']+)["']"""), F.lit(1))).alias("link"))
+
+
+@query(LINKS + " SELECT page_id, count(*) AS links, count(DISTINCT link) AS distinct_links FROM a GROUP BY page_id")
+def link_extraction(spark, d):
+    return _links(spark, d).groupBy("page_id").agg(F.count("*").alias("links"), F.count_distinct("link").alias("distinct_links"))
+
+
+@query(LINKS + " SELECT page_id, link, absolute FROM a")
+def absolutize_links(spark, d):
+    return _links(spark, d).select("page_id", "link", U.absolute(F.col("url"), F.col("link")).alias("absolute"))
+
+
+@query(f"WITH {URLS} SELECT id, CAST(CAST('0x' || substr(sha1(domain), 1, 16) AS UHUGEINT) % 4 AS INTEGER) AS owner, CAST(CAST('0x' || substr(sha1(url), 1, 8) AS UBIGINT) % 100 AS BIGINT) AS bucket FROM urls")
+def url_shards(spark, d):
+    return urls(spark, d).select("id", U.shard(F.col("domain"), 4).alias("owner"), U.bucket(F.col("url")).alias("bucket"))
+
+
+@query(f"WITH {URLS}, b AS (SELECT id, CAST(CAST('0x' || substr(sha1(url), 1, 8) AS UBIGINT) % 100 AS BIGINT) AS bucket FROM urls) SELECT id, CAST(bucket % 2 AS BIGINT) AS consumer FROM b WHERE bucket < 60")
+def handoff_partition(spark, d):
+    return urls(spark, d).select("id", U.bucket(F.col("url")).alias("b")).where("b < 60").select("id", (F.col("b") % 2).alias("consumer"))
+
+
+@query(f"""WITH {URLS} SELECT id, row_number() OVER (ORDER BY CASE WHEN id % 10 = 0 THEN 0 WHEN discovery_source LIKE 'wayback%' THEN 1 ELSE 2 END, id) AS position FROM urls WHERE status = 'discovered' QUALIFY position <= 50""")
+def claim_order(spark, d):
+    return R.claim(urls(spark, d).where("status = 'discovered'"), F.col("id") % 10 == 0, F.col("discovery_source").startswith("wayback"), 50, gated=True).select("id", "position")
+
+
+@query("""SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS owner, min(doc_id) OVER (PARTITION BY text) <> doc_id AS is_duplicate FROM documents""")
+def exact_dedup(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    return dedup.first_owner(docs, "sha256", "doc_id").select("doc_id", "owner", "is_duplicate")
+
+
+@query("SELECT doc_id FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 10 = 0 UNION SELECT text FROM benchmark)")
+def known_hash_antijoin(spark, d):
+    h = lambda t, c: t.select(F.sha2("text", 256).alias("sha256"))
+    docs = table(spark, d, "documents")
+    known = h(docs.where("doc_id % 10 = 0"), 0).union(h(table(spark, d, "benchmark"), 0)).distinct()
+    return docs.select("doc_id", F.sha2("text", 256).alias("sha256")).join(known, "sha256", "left_anti").select("doc_id")
+
+
+@query("""WITH h AS (SELECT vec_id, list_sum([CASE WHEN embedding[i] > 0 THEN CAST(1 AS HUGEINT) << (i - 1) ELSE 0 END FOR i IN range(1, 65)]) AS h FROM embeddings)
+SELECT a.vec_id AS left_id, b.vec_id AS right_id, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS distance FROM h a JOIN h b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 18""")
+def near_dup_pairs(spark, d):
+    h = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), dedup.sign_hash(F.col("embedding")).alias("h"))
+    return dedup.hamming_pairs(h, 18)
+
+
+def _screens(spark, d):
+    return table(spark, d, "documents").select("doc_id", "text")
+
+
+PII_SQL = r"""e AS (SELECT doc_id, coalesce(text, '') AS t, len(list_filter(regexp_extract_all(coalesce(text, ''), '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b'), lambda x: NOT regexp_matches(lower(x), 'info@|contact@|press@|media@|ir@|investor|office@|support@|sales@|hello@|admin@|webmaster@|enquiries@|communications@|pr@|news@'))) AS emails,
+len(regexp_extract_all(coalesce(text, ''), '\b\d{3}-\d{2}-\d{4}\b')) AS ssns FROM documents)"""
+
+
+@query(f"WITH {PII_SQL} SELECT doc_id, CAST(emails AS BIGINT) AS emails, CAST(ssns AS BIGINT) AS ssns FROM e")
+def pii_core(spark, d):
+    return _screens(spark, d).select("doc_id", S.emails(F.col("text")).alias("emails"), S.times(F.col("text"), S.SSN).alias("ssns"))
+
+
+@query()
+def pii_full(spark, d):
+    t = F.col("text")
+    return _screens(spark, d).select("doc_id", S.times(t, S.PHONE).alias("phones"), S.times(t, S.ID_NUMBER).alias("ids"), S.pii(t).alias("screen_pii"))
+
+
+@query()
+def rights(spark, d):
+    return _screens(spark, d).select("doc_id", S.times(F.col("text"), S.RIGHTS).alias("notices"), S.rights(F.col("text")).alias("screen_rights"))
+
+
+@query(r"""SELECT doc_id, CASE WHEN regexp_matches(coalesce(text,''), '(?i)\b(children under 13|under-13|coppa|kindergarten|elementary school students|pupils?''? (names?|records?|data)|student records?|minors?''? personal|child(?:ren)?''s personal (?:data|information))\b') AND regexp_matches(coalesce(text,''), '(?i)\b(name|address|birthdate|date of birth|photo|email|phone)\b') THEN 'REVIEW' ELSE 'PASS' END AS screen_minors,
+CASE WHEN regexp_matches(coalesce(text,''), '(?i)\b(explicit sexual|pornograph\w+|xxx[\s-]rated|escort service|beheading|gore video|graphic violence|torture footage|snuff|jihadist propaganda|white supremac\w+|neo-nazi|terrorist recruitment|extremist manifesto)\b') THEN 'REJECT' ELSE 'PASS' END AS screen_prohibited FROM documents""")
+def minors_prohibited(spark, d):
+    return _screens(spark, d).select("doc_id", S.minors(F.col("text")).alias("screen_minors"), S.prohibited(F.col("text")).alias("screen_prohibited"))
+
+
+FILES = f"""{PII_SQL}, first AS (SELECT text, min(doc_id) AS owner FROM documents GROUP BY text),
+files AS (SELECT d.doc_id AS id, CASE WHEN l.quality = 1 THEN 'HIGH' ELSE 'MEDIUM' END AS quality, sha256(d.text) AS sha256, CASE WHEN e.emails > 3 OR e.ssns > 0 THEN 'REVIEW' ELSE 'DELIVER' END AS decision, d.n_chars AS size
+ FROM documents d JOIN labels l USING (doc_id) JOIN first f ON f.text = d.text AND f.owner = d.doc_id JOIN e ON e.doc_id = d.doc_id),
+cand AS (SELECT id, quality, sha256, size FROM files WHERE decision = 'DELIVER'),
+sel AS (SELECT *, count(*) FILTER (quality = 'HIGH') OVER () AS h, count(*) FILTER (quality = 'MEDIUM') OVER () AS m, row_number() OVER (PARTITION BY quality ORDER BY id) AS k FROM cand),
+cap AS (SELECT *, least(floor(50 * 0.3::DOUBLE), floor(h * 0.3::DOUBLE / 0.7::DOUBLE)) AS c FROM sel),
+roles AS (SELECT id, quality, sha256, size, CASE WHEN quality = 'MEDIUM' THEN CASE WHEN k <= c THEN 'medium' ELSE 'surplus' END WHEN k <= 50 - least(c, m) THEN 'high' ELSE 'held' END AS role FROM cap)"""
+
+
+def _files(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.sha2("text", 256).alias("sha256"), F.col("n_chars").alias("size"))
+    own = dedup.first_owner(docs, "sha256", "id").where("NOT is_duplicate")
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "HIGH").otherwise("MEDIUM").alias("quality"))
+    review = (S.emails(F.col("text")) > 3) | (S.times(F.col("text"), S.SSN) > 0)
+    return own.join(labels, "id").withColumn("decision", S.merged(F.lit("DELIVER"), F.lit(False), review)).drop("text")
+
+
+def _candidates(spark, d):
+    return _files(spark, d).where("decision = 'DELIVER'").select("id", "quality", "sha256", "size")
+
+
+@query(f"WITH {FILES} SELECT id, quality, decision FROM files")
+def verdict_merge(spark, d):
+    return _files(spark, d).select("id", "quality", "decision")
+
+
+@query(f"WITH {FILES} SELECT id, quality, role FROM roles")
+def batch_selection(spark, d):
+    return packaging.batch_selection(_candidates(spark, d), 50).select("id", "quality", "role")
+
+
+@query(f"""WITH RECURSIVE {FILES}, o AS (SELECT *, row_number() OVER (ORDER BY id) AS k FROM cand),
+g AS (SELECT id, k, 0 AS h, 0 AS m, false AS kept FROM (SELECT NULL::BIGINT AS id, 0::BIGINT AS k)
+UNION ALL SELECT o.id, o.k, g.h + CASE WHEN o.quality = 'HIGH' THEN 1 ELSE 0 END, g.m + CASE WHEN o.quality = 'MEDIUM' AND g.h > 0 AND g.m < least(floor(1000 * 0.3::DOUBLE), floor(g.h * 0.3::DOUBLE / 0.7::DOUBLE)) THEN 1 ELSE 0 END,
+ o.quality = 'HIGH' OR (g.h > 0 AND g.m < least(floor(1000 * 0.3::DOUBLE), floor(g.h * 0.3::DOUBLE / 0.7::DOUBLE))) FROM g JOIN o ON o.k = g.k + 1)
+SELECT id, kept FROM g WHERE k > 0""")
+def stream_gate(spark, d):
+    return packaging.stream_gate(_candidates(spark, d), 1000).select("id", "kept")
+
+
+@query(f"""WITH {FILES}, n AS (SELECT *, row_number() OVER (ORDER BY id) AS c FROM roles WHERE role IN ('high', 'medium'))
+SELECT id, 'BATCH_01_' || lpad(CAST(c AS VARCHAR), 6, '0') || '.txt' AS delivered_filename, sha256, quality AS quality_class, size AS slide_count, 'PASS' AS screen_pii, 'DELIVERED' AS final_status FROM n""")
+def manifest(spark, d):
+    chosen = packaging.batch_selection(_candidates(spark, d), 50).where(F.col("role").isin("high", "medium"))
+    c = F.row_number().over(W.orderBy("id"))
+    return chosen.select("id", packaging.file_name(F.lit(1), c, F.lit("txt")).alias("delivered_filename"), "sha256", F.col("quality").alias("quality_class"), F.col("size").alias("slide_count"), F.lit("PASS").alias("screen_pii"), F.lit("DELIVERED").alias("final_status"))
+
+
+SLIDES = """slides AS (SELECT l_orderkey AS deck, l_linenumber AS slide, CAST(l_returnflag = 'R' AS INTEGER) AS native_chart, CAST(l_linenumber % 5 = 0 AS INTEGER) AS diagram, CAST(l_quantity > 40 AS INTEGER) AS table_, CAST(l_discount > 0.09 AS INTEGER) AS ole,
+ CAST(l_tax > 0.06 AS INTEGER) AS image_analytical, CAST(l_returnflag = 'A' AS INTEGER) AS image_photo, CAST(l_returnflag = 'A' AS INTEGER) + CAST(l_tax > 0.06 AS INTEGER) AS image_count, CAST(l_quantity < 5 AS INTEGER) AS vector, CAST(l_quantity * 20 AS INTEGER) AS text_chars, CAST(l_linenumber AS INTEGER) AS bullets, l_linenumber = 1 AND l_quantity < 25 AS filler FROM lineitem),
+flags AS (SELECT *, native_chart + diagram + table_ + ole + image_analytical AS a FROM slides)"""
+DECKS = f"""{SLIDES}, mt AS (SELECT deck, count(*) AS slides, count(*) FILTER (NOT filler) AS content, count(*) FILTER (NOT filler AND a > 0) AS analytical, count(*) FILTER (NOT filler AND native_chart + diagram + image_analytical > 0) AS charts,
+ count(*) FILTER (NOT filler AND image_photo >= 1 AND a = 0 AND text_chars < 200) AS photos, count(*) FILTER (NOT filler AND a = 0 AND image_count = 0 AND vector = 0) AS texts FROM flags GROUP BY deck),
+sh AS (SELECT *, CASE WHEN content > 0 THEN analytical / content::DOUBLE ELSE 0 END AS pa, CASE WHEN content > 0 THEN photos / content::DOUBLE ELSE 0 END AS pp, CASE WHEN content > 0 THEN texts / content::DOUBLE ELSE 0 END AS px FROM mt),
+q AS (SELECT *, slides < MINS OR content = 0 AS early, CASE WHEN slides < MINS OR content = 0 OR px >= 0.75::DOUBLE OR pp >= 0.5::DOUBLE OR analytical = 0 THEN 'LOW' WHEN pa >= HI::DOUBLE AND charts >= 3 AND pp < 0.3::DOUBLE THEN 'HIGH' WHEN pa >= 0.4::DOUBLE AND charts >= 1 THEN 'MEDIUM' ELSE 'LOW' END AS quality,
+ abs(pa - HI::DOUBLE) <= 0.03::DOUBLE OR abs(pa - 0.4::DOUBLE) <= 0.03::DOUBLE OR abs(pp - 0.3::DOUBLE) <= 0.03::DOUBLE OR abs(px - 0.75::DOUBLE) <= 0.03::DOUBLE OR abs(pp - 0.5::DOUBLE) <= 0.03::DOUBLE AS signal FROM sh),
+dec AS (SELECT deck, slides, content, analytical, charts, quality, NOT early AND signal AND (quality <> 'LOW' OR analytical > 0) AS borderline, CASE WHEN NOT early AND signal AND (quality <> 'LOW' OR analytical > 0) THEN 'REVIEW' WHEN quality = 'LOW' THEN 'REJECT' ELSE 'DELIVER' END AS decision FROM q)"""
+
+
+def _slides(spark, d):
+    b = lambda c: c.cast("int")
+    li = table(spark, d, "lineitem")
+    q, n, f = F.col("l_quantity"), F.col("l_linenumber"), F.col("l_returnflag")
+    return li.select(F.col("l_orderkey").alias("deck"), n.alias("slide"), b(f == "R").alias("native_chart"), b(n % 5 == 0).alias("diagram"), b(q > 40).alias("table_"), b(F.col("l_discount") > 0.09).alias("ole"), b(F.col("l_tax") > 0.06).alias("image_analytical"), b(f == "A").alias("image_photo"),
+                     (b(f == "A") + b(F.col("l_tax") > 0.06)).alias("image_count"), b(q < 5).alias("vector"), (q * 20).cast("int").alias("text_chars"), n.cast("int").alias("bullets"), ((n == 1) & (q < 25)).alias("filler"))
+
+
+def _decided(spark, d, t=D.Thresholds(min_slides=3)):
+    return D.deck_decision(D.deck_metrics(_slides(spark, d), "deck"), t)
+
+
+@query(f"WITH {DECKS.replace('MINS', '3').replace('HI::', '0.5::')} SELECT deck, slides, content, analytical, charts, quality, borderline, decision FROM dec")
+def deck_decision(spark, d):
+    return _decided(spark, d).select("deck", "slides", "content", "analytical", "charts", "quality", "borderline", "decision")
+
+
+@query(f"WITH a AS (WITH {DECKS.replace('MINS', '3').replace('HI::', '0.5::')} SELECT * FROM dec), b AS (WITH {DECKS.replace('MINS', '3').replace('HI::', '0.7::')} SELECT * FROM dec) SELECT a.quality AS before, b.quality AS after, count(*) AS n FROM a JOIN b USING (deck) WHERE a.quality <> b.quality OR a.decision <> b.decision GROUP BY ALL")
+def reclassify_changes(spark, d):
+    m = D.deck_metrics(_slides(spark, d), "deck")  # one pass over the slides; the thresholds are expressions over the metrics
+    a = D.deck_decision(m, D.Thresholds(min_slides=3)).withColumnsRenamed({"quality": "before", "decision": "d1"}).drop("borderline")
+    b = D.deck_decision(a, D.Thresholds(min_slides=3, high=0.7)).withColumnRenamed("quality", "after")
+    return b.where("before <> after OR d1 <> decision").groupBy("before", "after").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {SLIDES} SELECT deck, slide, CASE WHEN filler THEN 'filler' WHEN a = 0 AND vector = 0 THEN 'no_analytical_content' WHEN table_ >= 1 AND ole >= 1 AND text_chars > 500 THEN 'spreadsheet_dump' WHEN text_chars > 400 AND bullets > 3 THEN 'text_heavy_with_bullets'
+ WHEN a = 1 AND image_analytical = 1 AND text_chars > 400 THEN 'decorative_image_with_text' WHEN table_ >= 1 AND a = table_ AND text_chars > 800 THEN 'table_text_dump' WHEN native_chart + diagram = 0 AND image_analytical < 2 AND ole = 0 AND text_chars > 200 THEN 'weak_analytical_with_text' WHEN a > 0 THEN 'analytical' ELSE 'vector_graphics' END AS reason FROM flags""")
+def graphical_pages(spark, d):
+    return _slides(spark, d).select("deck", "slide", D.page_reason().alias("reason"))
+
+
+@query("""WITH e AS (SELECT user_id, event_id, ts, event_type = 'error' AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events)
+SELECT event_id, CASE WHEN bad THEN count(*) FILTER (bad) OVER (PARTITION BY user_id, island ORDER BY ts, event_id) ELSE 0 END AS streak FROM e""")
+def breaker_streaks(spark, d):
+    return E.failure_streaks(table(spark, d, "events"), "user_id", F.col("event_type") == "error", ["ts", "event_id"]).select("event_id", "streak")
+
+
+@query()
+def breaker_machine(spark, d):
+    return E.breaker(table(spark, d, "events").select(F.col("user_id").alias("key"), "event_id", "ts", (F.col("event_type") == "error").alias("failed")))
+
+
+@query("""WITH e AS (SELECT event_id, user_id, ts, CASE WHEN value >= 70 THEN 1 WHEN value <= 56 THEN 0 END AS v FROM events)
+SELECT event_id, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) = 1 AS paused FROM e""")
+def pause_hysteresis(spark, d):
+    return E.latch(table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("value") >= 70, F.col("value") <= 56, "paused").select("event_id", "paused")
+
+
+@query("""WITH r AS (SELECT event_id, CAST(ts AS DATE) AS day, sum(CAST(value * 100 AS BIGINT)) OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS running FROM events),
+k AS (SELECT *, max(running) OVER (PARTITION BY day ORDER BY event_id) FROM r) SELECT event_id, CAST(running AS BIGINT) AS running, running <= 50000 AS kept FROM r""")
+def budget_prefix(spark, d):
+    e = table(spark, d, "events").select("event_id", "ts", F.to_date("ts").alias("day"), F.round(F.col("value") * 100).cast("long").alias("bytes"))
+    return packaging.within_budget(e, "day", ["ts", "event_id"], "bytes", 50_000).select("event_id", "running", "kept")
+
+
+@query(f"WITH {URLS} SELECT CASE WHEN grouping(tier) = 1 THEN 0 ELSE tier END AS tier, status, count(*) AS n FROM urls GROUP BY GROUPING SETS ((status), (tier, status))")
+def status_rollup(spark, d):
+    return urls(spark, d).groupingSets([["status"], ["tier", "status"]], "tier", "status").agg(F.count("*").alias("n")).withColumn("tier", F.coalesce("tier", F.lit(0)))
+
+
+@query(f"WITH {URLS}, f AS (SELECT doc_id AS url_id, n_chars AS size FROM documents) SELECT tier, count(*) AS candidates, CAST(sum(CASE WHEN status = 'delivered' THEN 1 ELSE 0 END) AS BIGINT) AS accepted, CAST(sum(coalesce(size, 0)) AS BIGINT) AS bytes, round_even(1000.0::DOUBLE * sum(CASE WHEN status = 'delivered' THEN 1 ELSE 0 END) / count(*), 2) AS accepted_per_1k FROM urls LEFT JOIN f ON urls.id = f.url_id GROUP BY tier")
+def tier_acceptance(spark, d):
+    files = table(spark, d, "documents").select(F.col("doc_id").alias("url_id"), F.col("n_chars").alias("size"))
+    j = urls(spark, d).join(files, F.col("id") == F.col("url_id"), "left")
+    ok = F.sum(F.when(F.col("status") == "delivered", 1).otherwise(0))
+    return j.groupBy("tier").agg(F.count("*").alias("candidates"), ok.alias("accepted"), F.sum(F.coalesce("size", F.lit(0))).alias("bytes"), F.bround(F.lit(1000.0) * ok / F.count("*"), 2).alias("accepted_per_1k"))
+
+
+@query("SELECT event_type AS kind, count(*) AS n, count(*) FILTER (ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY) AS last_day FROM events GROUP BY event_type")
+def incident_counts(spark, d):
+    e = table(spark, d, "events")
+    asof = e.agg(F.max("ts").alias("asof"))
+    return e.crossJoin(F.broadcast(asof)).groupBy(F.col("event_type").alias("kind")).agg(F.count("*").alias("n"), F.count_if(F.col("ts") >= F.col("asof") - F.expr("INTERVAL 1 DAY")).alias("last_day"))
+
+
+FOLDERS = "a AS (SELECT doc_id, sha256(text) AS sha, 'f' || CAST(doc_id % 97 AS VARCHAR) AS name FROM documents WHERE doc_id % 2 = 0), b AS (SELECT doc_id, sha256(text) AS sha, 'f' || CAST(doc_id % 97 AS VARCHAR) AS name FROM documents WHERE doc_id % 2 = 1)"
+
+
+@query(f"""WITH {FOLDERS} SELECT 'duplicate' AS role, count(*) AS n FROM (SELECT DISTINCT sha FROM a INTERSECT SELECT DISTINCT sha FROM b)
+UNION ALL SELECT 'unique_a', count(*) FROM (SELECT DISTINCT sha FROM a EXCEPT SELECT sha FROM b) UNION ALL SELECT 'unique_b', count(*) FROM (SELECT DISTINCT sha FROM b EXCEPT SELECT sha FROM a)
+UNION ALL SELECT 'all', count(*) FROM (SELECT sha FROM a UNION SELECT sha FROM b)""")
+def folder_compare(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
+    return R.compare_folders(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1"))
+
+
+@query("""SELECT CAST(l_shipdate::DATE AS VARCHAR) AS day, count(*) AS files, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes, round(sum(CAST(l_quantity AS BIGINT)) / 1e9::DOUBLE, 9) AS gb FROM lineitem GROUP BY 1""")
+def inventory_cost(spark, d):
+    li = table(spark, d, "lineitem")
+    b = F.sum(F.col("l_quantity").cast("long"))
+    return li.groupBy(F.to_date("l_shipdate").cast("string").alias("day")).agg(F.count("*").alias("files"), b.alias("bytes"), F.round(b / F.lit(1e9), 9).alias("gb"))
+
+
+@query("""SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL""")
+def event_windows(spark, d):
+    e = table(spark, d, "events")
+    return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.floor(F.unix_timestamp("w.start") / 3600).alias("hour"), "event_type", "n")
+
+
+AUDIT = """f AS (SELECT vec_id, (abs(embedding[1]) * 4)::DOUBLE AS text_density, CAST(floor(abs(embedding[2]::DOUBLE) * 30) AS INTEGER) AS pairs, CAST(floor(abs(embedding[3]::DOUBLE) * 50) AS INTEGER) AS lines, CAST(floor(abs(embedding[4]::DOUBLE) * 60) AS INTEGER) AS colors, (abs(embedding[5]) * 3)::DOUBLE AS long_edges, CAST(floor(abs(embedding[6]::DOUBLE) * 500) AS INTEGER) AS blobs, (abs(embedding[7]) * 5)::DOUBLE AS symmetry, (abs(embedding[8]) * 5)::DOUBLE AS white, CAST(floor(abs(embedding[9]::DOUBLE) * 40) AS INTEGER) AS hues FROM embeddings),
+s AS (SELECT vec_id, CAST(greatest(0, least(100, 50 + CASE WHEN text_density > 0.4 THEN -35 WHEN text_density > 0.2 THEN -25 WHEN text_density > 0.1 THEN -15 WHEN text_density > 0.05 THEN -5 ELSE 0 END + CASE WHEN pairs > 5 THEN 25 WHEN pairs > 2 THEN 15 WHEN lines > 10 THEN 10 WHEN lines > 5 THEN 5 ELSE 0 END
+ + CASE WHEN colors BETWEEN 4 AND 12 THEN 10 WHEN colors > 12 THEN 5 WHEN colors <= 2 THEN -5 ELSE 0 END + CASE WHEN long_edges > 0.3 THEN 10 WHEN long_edges > 0.15 THEN 5 ELSE 0 END + CASE WHEN blobs BETWEEN 5 AND 100 THEN 10 WHEN blobs > 100 THEN 5 ELSE 0 END + CASE WHEN symmetry > 0.6 THEN 5 ELSE 0 END + CASE WHEN white > 0.5 THEN 5 ELSE 0 END + CASE WHEN hues BETWEEN 3 AND 10 THEN 5 ELSE 0 END)) AS INTEGER) AS score FROM f)"""
+
+
+def _audited(spark, d):
+    x = lambda i: F.abs(F.col("embedding")[i].cast("double"))
+    n = lambda i, k: F.floor(x(i) * k).cast("int")
+    f = table(spark, d, "embeddings").select("vec_id", (F.abs(F.col("embedding")[0]) * F.lit(4).cast("float")).cast("double").alias("text_density"), n(1, 30).alias("pairs"), n(2, 50).alias("lines"), n(3, 60).alias("colors"), (F.abs(F.col("embedding")[4]) * F.lit(3).cast("float")).cast("double").alias("long_edges"), n(5, 500).alias("blobs"), (F.abs(F.col("embedding")[6]) * F.lit(5).cast("float")).cast("double").alias("symmetry"), (F.abs(F.col("embedding")[7]) * F.lit(5).cast("float")).cast("double").alias("white"), n(8, 40).alias("hues"))
+    return f.select("vec_id", R.audit_score().alias("score"))
+
+
+@query(f"WITH {AUDIT} SELECT vec_id, score, CASE WHEN score >= 70 THEN 'pass' WHEN score >= 40 THEN 'borderline' ELSE 'reject' END AS classification FROM s")
+def audit_score(spark, d):
+    return _audited(spark, d).withColumn("classification", F.when(F.col("score") >= 70, "pass").when(F.col("score") >= 40, "borderline").otherwise("reject"))
+
+
+@query(f"WITH {AUDIT} SELECT CAST(least(floor(score / 10.0), 9) AS BIGINT) AS bin, count(*) AS n FROM s GROUP BY 1")
+def audit_histogram(spark, d):
+    return _audited(spark, d).groupBy(F.least(F.floor(F.col("score") / 10), F.lit(9).cast("long")).alias("bin")).agg(F.count("*").alias("n"))
