@@ -66,3 +66,23 @@ def page_reason() -> Column:
         .when((c("table_") >= 1) & (a == c("table_")) & (t > 800), "table_text_dump")
         .when((c("native_chart") + c("diagram") == 0) & (c("image_analytical") < 2) & (c("ole") == 0) & (t > 200), "weak_analytical_with_text").when(a > 0, "analytical").otherwise("vector_graphics")
     )
+
+
+#: Families of filler texts, in order (fixed values).
+FILLER = (
+    ("agenda", r"(?im)^\s*(agenda|outline|contents?|table of contents|today'?s (topics|agenda)|overview of (the )?presentation)\s*$"),
+    ("thank_you", r"(?i)\b(thank\s*you|thanks|merci|gracias|danke|obrigado|谢谢|ありがとう)\b[\s!.]*$"),
+    ("qa", r"(?im)^\s*(q\s*&\s*a|questions\??|any questions\??|discussion)\s*$"),
+    ("divider", r"(?im)^\s*(section|part|chapter|appendix)\s*[:\-]?\s*[\divxIVX]*\s*$"),
+    ("disclaimer", r"(?i)\b(safe harbor|forward.looking statements?|disclaimer|legal notice|cautionary statement)\b"),
+)
+
+
+def filler_reason(text: Column, chars: Column, at_edge: Column, photos: Column | None = None, images: Column | None = None, vectors: Column | None = None, analytical: Column | None = None) -> Column:
+    """Why a slide is filler; null where it is not. Slides with analytical objects never are."""
+    photos, images, vectors = (F.lit(0) if c is None else c for c in (photos, images, vectors))
+    analytical = F.lit(False) if analytical is None else analytical
+    out = F.when(at_edge & (chars <= 200) & (photos <= 1), "title_or_closing").when((chars <= 40) & (images == 0) & (vectors == 0), "near_empty_divider")
+    for name, pattern in reversed(FILLER):
+        out = F.when(text.rlike(pattern), name).otherwise(out)
+    return F.when(~analytical, out)

@@ -6,28 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.operators.ordered import running
+
 
 def batch_selection(candidates: DataFrame, size: int, high: float = 0.7, medium: float = 0.3, order: str = "id") -> DataFrame:
     """Adds role (high, medium, surplus, held) to candidates (id, quality): MEDIUM up to its cap, HIGH up to the size, other MEDIUM surplus."""
-    total = F.count_if(F.col("quality") == "HIGH").over(W.partitionBy())
-    out = candidates.withColumn("_h", total).withColumn("_k", F.row_number().over(W.partitionBy("quality").orderBy(order)))
+    totals = candidates.agg(F.count_if(F.col("quality") == "HIGH").alias("_h"), F.count_if(F.col("quality") == "MEDIUM").alias("_n"))  # one row
+    first = candidates.select(order, "quality").withColumn("_k", F.row_number().over(W.partitionBy("quality").orderBy(order))).where(F.col("_k") <= size)
+    out = candidates.join(first, [order, "quality"], "left").crossJoin(F.broadcast(totals))
     cap = F.least(F.floor(F.lit(float(size)) * medium), F.floor(F.col("_h") * F.lit(medium) / F.lit(high)))
-    mediums = F.least(cap, F.count_if(F.col("quality") == "MEDIUM").over(W.partitionBy()))
-    out = out.withColumn("_cap", cap).withColumn("_m", mediums)
-    role = F.when(F.col("quality") == "MEDIUM", F.when(F.col("_k") <= F.col("_cap"), "medium").otherwise("surplus")).when(F.col("_k") <= size - F.col("_m"), "high").otherwise("held")
-    return out.withColumn("role", role).drop("_h", "_k", "_cap", "_m")
+    k = F.coalesce("_k", F.lit(size + 1))
+    role = F.when(F.col("quality") == "MEDIUM", F.when(k <= cap, "medium").otherwise("surplus")).when(k <= size - F.least(cap, F.col("_n")), "high").otherwise("held")
+    return out.withColumn("role", role).select(*candidates.columns, "role")
 
 
 def stream_gate(candidates: DataFrame, size: int, high: float = 0.7, medium: float = 0.3, h0: int = 0, m0: int = 0, order: str = "id") -> DataFrame:
-    """Adds kept: a HIGH passes; a MEDIUM passes if fewer are in than the HIGH before it allow. Closed form of the recurrence by two running windows."""
-    w = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    """Adds kept: a HIGH passes; a MEDIUM passes if fewer are in than the HIGH before it allow. Closed form of the recurrence by running sums and a running minimum."""
     is_m = F.col("quality") == "MEDIUM"
-    out = candidates.withColumn("_H", h0 + F.count_if(F.col("quality") == "HIGH").over(w)).withColumn("_k", F.count_if(is_m).over(w))
-    f = F.when(F.col("_H") <= 0, 0).otherwise(F.least(F.floor(F.lit(float(size)) * medium), F.floor(F.col("_H") * F.lit(medium) / F.lit(high))))
-    g = F.when(is_m, F.greatest(f, F.lit(m0)) - F.col("_k"))
-    out = out.withColumn("_g", g).withColumn("_M", F.least(m0 + F.col("_k"), F.col("_k") + F.min("_g").over(w)))
-    before = F.coalesce(F.lag("_M").over(W.partitionBy(is_m).orderBy(order)), F.lit(m0))
-    return out.withColumn("_b", before).withColumn("kept", F.when(is_m, F.col("_M") > F.col("_b")).otherwise(F.col("quality") == "HIGH")).drop("_H", "_k", "_g", "_M", "_b")
+    out = running(candidates, [order], _H=("sum", (F.col("quality") == "HIGH").cast("long")), _k=("sum", is_m.cast("long")))
+    h = h0 + F.col("_H")
+    f = F.when(h <= 0, 0).otherwise(F.least(F.floor(F.lit(float(size)) * medium), F.floor(h * F.lit(medium) / F.lit(high))))
+    out = running(out, [order], _g=("min", F.when(is_m, F.greatest(f, F.lit(m0)) - F.col("_k"))))
+    # M_k = min(m0 + k, k + least g up to k); the k-th MEDIUM is kept if M grows at it, i.e. M_k > M_(k-1).
+    out = out.withColumn("_m", F.when(is_m, F.least(m0 + F.col("_k"), F.col("_k") + F.col("_g"))))
+    own = F.when(is_m, F.struct((F.col("_k") + 1).alias("_k"), F.col("_m").alias("_b")))
+    before = out.where(is_m).select(own.alias("o")).select("o.*")
+    out = out.join(before.withColumn("quality", F.lit("MEDIUM")), ["_k", "quality"], "left")
+    kept = F.when(is_m, F.col("_m") > F.coalesce("_b", F.lit(m0))).otherwise(F.col("quality") == "HIGH")
+    return out.withColumn("kept", kept).select(*candidates.columns, "kept")
 
 
 def batch_folder(batch: Column, width: int = 2) -> Column:

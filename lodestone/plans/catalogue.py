@@ -14,6 +14,7 @@ from lodestone.functions import decks as D
 from lodestone.functions import screens as S
 from lodestone.functions import urls as U
 from lodestone.operators import dedup, events as E, filtering, packaging, registry as R
+from lodestone.operators.ordered import running
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -352,3 +353,122 @@ def audit_score(spark, d):
 @query(f"WITH {AUDIT} SELECT CAST(least(floor(score / 10.0), 9) AS BIGINT) AS bin, count(*) AS n FROM s GROUP BY 1")
 def audit_histogram(spark, d):
     return _audited(spark, d).groupBy(F.least(F.floor(F.col("score") / 10), F.lit(9).cast("long")).alias("bin")).agg(F.count("*").alias("n"))
+
+
+def _page_hashes(spark, d):
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), (F.col("vec_id") % 7).alias("file_id"), dedup.sign_hash(F.col("embedding")).alias("h"))
+
+
+PAGE_HASHES = "h AS (SELECT vec_id AS id, vec_id % 7 AS file_id, list_sum([CASE WHEN embedding[i] > 0 THEN CAST(1 AS HUGEINT) << (i - 1) ELSE 0 END FOR i IN range(1, 65)]) AS h FROM embeddings)"
+
+
+@query(f"WITH {PAGE_HASHES} SELECT id, EXISTS (SELECT 1 FROM h e WHERE e.id < h.id AND e.file_id <> h.file_id AND bit_count(xor(e.h, h.h)) <= 18) AS is_duplicate FROM h")
+def near_dup_flags(spark, d):
+    """A page is a near duplicate if an earlier page of another file is within the distance."""
+    h = _page_hashes(spark, d)
+    of = h.select("id", "file_id")
+    pairs = dedup.hamming_pairs(h, 18).join(of.withColumnsRenamed({"id": "left_id", "file_id": "lf"}), "left_id").join(of.withColumnsRenamed({"id": "right_id", "file_id": "rf"}), "right_id")
+    later = pairs.where("lf <> rf").select(F.col("right_id").alias("id")).distinct().withColumn("hit", F.lit(True))
+    return h.join(later, "id", "left").select("id", F.coalesce("hit", F.lit(False)).alias("is_duplicate"))
+
+
+@query(r"""SELECT conv_id, turn, CASE WHEN regexp_matches(t, '(?im)^\s*(agenda|outline|contents?|table of contents|today''?s (topics|agenda)|overview of (the )?presentation)\s*$') THEN 'agenda' WHEN regexp_matches(t, '(?i)\b(thank\s*you|thanks|merci|gracias|danke|obrigado)\b[\s!.]*$') THEN 'thank_you'
+ WHEN regexp_matches(t, '(?im)^\s*(q\s*&\s*a|questions\??|any questions\??|discussion)\s*$') THEN 'qa' WHEN regexp_matches(t, '(?im)^\s*(section|part|chapter|appendix)\s*[:\-]?\s*[\divxIVX]*\s*$') THEN 'divider' WHEN regexp_matches(t, '(?i)\b(safe harbor|forward.looking statements?|disclaimer|legal notice|cautionary statement)\b') THEN 'disclaimer'
+ WHEN (turn = lo OR turn = hi) AND chars <= 200 THEN 'title_or_closing' WHEN chars <= 40 THEN 'near_empty_divider' END AS filler_reason
+ FROM (SELECT conv_id, turn, trim(coalesce(text, '')) AS t, length(regexp_replace(coalesce(text, ''), '\s', '', 'g')) AS chars, min(turn) OVER (PARTITION BY conv_id) AS lo, max(turn) OVER (PARTITION BY conv_id) AS hi FROM conversations)""")
+def filler_flags(spark, d):
+    """Turns of a conversation as slides of a deck; the families of patterns are fixed values."""
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.trim(F.coalesce("text", F.lit(""))).alias("t"))
+    w = W.partitionBy("conv_id")
+    c = c.withColumn("chars", F.length(F.regexp_replace("t", r"\s", ""))).withColumn("lo", F.min("turn").over(w)).withColumn("hi", F.max("turn").over(w))
+    return c.select("conv_id", "turn", D.filler_reason(F.col("t"), F.col("chars"), (F.col("turn") == F.col("lo")) | (F.col("turn") == F.col("hi"))).alias("filler_reason"))
+
+
+@query("""WITH s AS (SELECT doc_id, n_chars AS size, sum(n_chars) OVER () AS total, sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS running FROM documents WHERE doc_id % 4 = 0) SELECT doc_id, CAST(size AS BIGINT) AS size FROM s WHERE total - (running - size) > 200000""")
+def review_prune(spark, d):
+    """Oldest first out of the backlog until what is left fits the cap."""
+    rows = table(spark, d, "documents").where("doc_id % 4 = 0").select("doc_id", F.col("n_chars").alias("size"))
+    total = rows.agg(F.sum("size").alias("total"))
+    out = running(rows, ["doc_id"], running=("sum", F.col("size"))).crossJoin(F.broadcast(total))
+    return out.where(F.col("total") - (F.col("running") - F.col("size")) > 200_000).select("doc_id", "size")
+
+
+@query(f"WITH {FOLDERS} SELECT a.name, count(*) AS pairs FROM (SELECT DISTINCT name, sha FROM a) a JOIN (SELECT DISTINCT name, sha FROM b) b ON a.name = b.name AND a.sha <> b.sha GROUP BY a.name")
+def name_collisions(spark, d):
+    """Names that two folders give to different contents, with the number of pairs: counted from totals, no pair is written out."""
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("f"), F.col("doc_id") % 97).alias("name"), F.sha2("text", 256).alias("sha"))
+    side = F.bit_or(F.when(F.col("doc_id") % 2 == 0, 1).otherwise(2))
+    one = docs.groupBy("name", "sha").agg(side.alias("f"))
+    n = one.groupBy("name").agg(F.count_if(F.col("f").isin(1, 3)).alias("a"), F.count_if(F.col("f").isin(2, 3)).alias("b"), F.count_if(F.col("f") == 3).alias("same"))
+    return n.select("name", (F.col("a") * F.col("b") - F.col("same")).alias("pairs")).where("pairs > 0")
+
+
+@query("SELECT DISTINCT sha256(text) AS sha256 FROM (SELECT text FROM documents UNION ALL SELECT text FROM benchmark)")
+def catalog_union(spark, d):
+    t = lambda n: table(spark, d, n).select(F.sha2("text", 256).alias("sha256"))
+    return t("documents").union(t("benchmark")).distinct()
+
+
+@query("SELECT l_partkey AS name, count(*) AS entries, count(DISTINCT l_suppkey) AS contents, count(DISTINCT l_suppkey) > 1 AS ambiguous FROM lineitem GROUP BY 1")
+def same_name_collapse(spark, d):
+    return table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("name")).agg(F.count("*").alias("entries"), F.count_distinct("l_suppkey").alias("contents")).withColumn("ambiguous", F.col("contents") > 1)
+
+
+@query("""WITH n AS (SELECT user_id, ts, event_id, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 12 HOUR THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM n) SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, count(*) AS n FROM s GROUP BY user_id, k""")
+def event_sessions(spark, d):
+    e = table(spark, d, "events").groupBy(F.session_window("ts", "12 hours").alias("w"), "user_id").agg(F.count("*").alias("n"))
+    return e.select("user_id", F.unix_timestamp("w.start").alias("start"), "n")
+
+
+@query("SELECT count(*) FILTER (event_type = 'purchase' AND ts >= m - INTERVAL 1 DAY) AS last_day, count(*) FILTER (event_type = 'purchase') AS total, round((1000000 - count(*) FILTER (event_type = 'purchase')) / CAST(nullif(count(*) FILTER (event_type = 'purchase' AND ts >= m - INTERVAL 1 DAY), 0) AS DOUBLE), 4) AS days_left FROM events, (SELECT max(ts) AS m FROM events)")
+def eta(spark, d):
+    e = table(spark, d, "events")
+    out = e.crossJoin(F.broadcast(e.agg(F.max("ts").alias("m")))).agg(F.count_if((F.col("event_type") == "purchase") & (F.col("ts") >= F.col("m") - F.expr("INTERVAL 1 DAY"))).alias("last_day"), F.count_if(F.col("event_type") == "purchase").alias("total"))
+    return out.withColumn("days_left", F.round((1_000_000 - F.col("total")) / F.nullif(F.col("last_day"), F.lit(0)).cast("double"), 4))
+
+
+@query(f"WITH {URLS}, dom AS (SELECT domain, CASE WHEN min(id) % 4 = 0 THEN 'blacklisted' WHEN min(id) % 4 = 1 THEN 'parked' END AS state FROM urls GROUP BY domain HAVING min(id) % 4 < 2) SELECT DISTINCT urls.domain FROM urls LEFT JOIN dom USING (domain) WHERE coalesce(state, 'active') <> 'blacklisted' AND (status = 'discovered' OR (status = 'parked' AND coalesce(state, 'active') = 'active'))")
+def live_domains(spark, d):
+    u = urls(spark, d)
+    dom = u.groupBy("domain").agg((F.min("id") % 4).alias("k")).where("k < 2").select("domain", F.when(F.col("k") == 0, "blacklisted").otherwise("parked").alias("state"))
+    s = F.coalesce("state", F.lit("active"))
+    return u.join(dom, "domain", "left").where((s != "blacklisted") & ((F.col("status") == "discovered") | ((F.col("status") == "parked") & (s == "active")))).select("domain").distinct()
+
+
+@query("""WITH p AS (SELECT label < 5 AS g, i, avg(e::DOUBLE) AS v FROM (SELECT label, unnest(embedding) AS e, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY ALL), n AS (SELECT g, sqrt(sum(v * v)) AS n FROM p GROUP BY g),
+x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS e, unnest(range(1, 65)) AS i FROM embeddings), l AS (SELECT vec_id, sqrt(sum(e * e)) AS n FROM x GROUP BY vec_id),
+s AS (SELECT x.vec_id, p.g, sum(x.e * p.v) / any_value(n.n) / any_value(l.n) AS s FROM x JOIN p USING (i) JOIN n ON n.g = p.g JOIN l ON l.vec_id = x.vec_id GROUP BY ALL),
+q AS (SELECT vec_id, 1 / (1 + exp(100 * (max(s) FILTER (NOT g) - max(s) FILTER (g)))) AS p FROM s GROUP BY vec_id)
+SELECT vec_id, round(p, 4) AS p_graphics, CASE WHEN round(p, 4) > 0.70 THEN 'pass' WHEN round(p, 4) > 0.40 THEN 'borderline' ELSE 'reject' END AS band FROM q""")
+def zero_shot_bands(spark, d):
+    """Two classes by label group: prototypes are normalised means, scores are cosines, softmax at 100."""
+    e = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    mean = e.select((F.col("label") < 5).alias("g"), F.posexplode("v").alias("i", "x")).groupBy("g", "i").agg(F.avg("x").alias("x"))
+    proto = mean.groupBy("g").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("p"))
+    two = proto.agg(F.max(F.when(F.col("g"), F.col("p"))).alias("pg"), F.max(F.when(~F.col("g"), F.col("p"))).alias("pn"))  # one row of fixed size
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    cos = lambda a, b: dot(F.col(a), F.col(b)) / F.sqrt(dot(F.col(a), F.col(a))) / F.sqrt(dot(F.col(b), F.col(b)))
+    p = F.round(1 / (1 + F.exp(100 * (cos("v", "pn") - cos("v", "pg")))), 4)
+    return e.crossJoin(F.broadcast(two)).select("vec_id", p.alias("p_graphics")).withColumn("band", F.when(F.col("p_graphics") > F.lit(0.70), "pass").when(F.col("p_graphics") > F.lit(0.40), "borderline").otherwise("reject"))
+
+
+@query("""WITH f AS (SELECT sha256(text) AS sha, doc_id, doc_id % 5 = 0 AS delivered FROM documents WHERE doc_id % 3 = 0) SELECT d.doc_id, bool_or(f.doc_id IS NOT NULL AND (f.doc_id <> d.doc_id OR f.delivered)) AS is_duplicate FROM documents d LEFT JOIN f ON f.sha = sha256(d.text) GROUP BY d.doc_id""")
+def duplicate_semantics(spark, d):
+    """A payload is a duplicate if a file with its hash belongs to another url or was delivered: from counts by hash, no pairs."""
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
+    known = docs.where("doc_id % 3 = 0").groupBy("sha").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.bool_or(F.col("doc_id") % 5 == 0).alias("delivered"))
+    hit = F.col("lo").isNotNull() & (F.col("delivered") | (F.col("lo") != F.col("doc_id")) | (F.col("hi") != F.col("doc_id")))
+    return docs.join(known, "sha", "left").select("doc_id", hit.alias("is_duplicate"))
+
+
+@query()
+def folder_subset_split(spark, d):
+    """Of at most eight folders (regions), the subset whose share of customers is nearest to 40 %: all subsets as bit masks over one row."""
+    n = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey").count()
+    one = n.agg(F.array_sort(F.collect_list(F.struct("n_regionkey", "count"))).alias("f"))
+    masks = one.withColumn("m", F.explode(F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("f")) - 1)))
+    chosen = F.filter("f", lambda x, i: F.getbit(F.col("m").cast("long"), i) == 1)
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x["count"])
+    out = masks.select(F.transform(chosen, lambda x: x["n_regionkey"]).alias("folders"), (total(chosen) / total(F.col("f"))).alias("share"))
+    return out.orderBy(F.abs(F.col("share") - 0.4), "folders").limit(1)
