@@ -72,7 +72,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, te
     items = cut(items_of(benchmark, item_col, item_text_col))
     found = alignments(with_row_key(docs.select(text_col)).select("_row", words(F.col(text_col)).alias("w")), items, size)
     lists = joined_small(found, items, "_item").groupBy("_row").agg(F.collect_list(F.struct(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "iw", "shift")).alias("_found"))
-    out = packed(docs, text_col).join(lists, "_row", "left").withColumn("w", words(F.col("_0")))
+    # The words of rows with candidates come out of a generator: a filter on what is added can't be pushed below it, where it would split the text again.
+    out = packed(docs, text_col).join(lists, "_row", "left").withColumn("w", F.explode(F.array(F.when(F.col("_found").isNotNull(), words(F.col("_0"))))))
     w = F.col("w")
 
     def hit_starts(c):
@@ -89,7 +90,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, te
     spread = F.flatten(F.transform("_exact", lambda c: F.flatten(F.transform(c["starts"], lambda s: F.sequence(c["shift"] + s, c["shift"] + s + c["n"] - 1)))))
     none = F.array().cast("array<string>")
     added = {
-        "n_words": F.size("w").cast("long"), "hits": F.coalesce(F.array_distinct(spread), F.array().cast("array<int>")),
+        "n_words": F.size(F.coalesce("w", words(F.col("_0")))).cast("long"), "hits": F.coalesce(F.array_distinct(spread), F.array().cast("array<int>")),
         "items": F.coalesce(F.array_sort(F.array_distinct(F.transform("_exact", lambda c: c["item"]))), none),
         "near_items": F.coalesce(F.array_sort(F.array_distinct(F.transform("_found", lambda c: c["item"]))), none),
     }
