@@ -62,3 +62,27 @@ def rights(c: Column) -> Column:
 def merged(decision: Column, rejects: Column, reviews: Column) -> Column:
     """Screens over a decision: a reject always stands, a review holds back what would be delivered."""
     return F.when(rejects, "REJECT").when(reviews & (decision == "DELIVER"), "REVIEW").otherwise(decision)
+
+
+#: Words of labels that speak for and against graphics (fixed values); the first group goes first.
+GRAPHICS = ("chart", "graph", "map", "infographic", "diagram", "flowchart", "visualization")
+OTHER = ("text", "photo", "logo", "decorative", "table", "spreadsheet")
+
+
+def label_share(labels: Column, scores: Column) -> Column:
+    """Share of the scores of graphics labels in those of all known labels; 0.5 if they are 0."""
+    has = lambda x, known: F.lower(x).rlike("|".join(known))
+    total = lambda keep: F.aggregate(F.arrays_zip(labels.alias("l"), scores.alias("s")), F.lit(0.0), lambda a, x: a + F.when(keep(x["l"]), x["s"]).otherwise(0.0))
+    g, n = total(lambda x: has(x, GRAPHICS)), total(lambda x: ~has(x, GRAPHICS) & has(x, OTHER))
+    return F.when(g + n > 0, g / (g + n)).otherwise(0.5)
+
+
+def label_band(p: Column, high: float = 0.70, low: float = 0.40) -> tuple[Column, Column]:
+    """Band and its reason; bounds of bands belong to the upper one, those of reasons to the lower."""
+    band = F.when(p >= F.lit(high), "pass").when(p >= F.lit(low), "borderline").otherwise("reject")
+    reason = (
+        F.when(band == "pass", F.when(p > F.lit(0.85), "high_confidence_graphics").otherwise("moderate_confidence_graphics"))
+        .when(band == "borderline", F.when(p > F.lit(0.55), "leaning_graphics_but_uncertain").when(p > F.lit(0.45), "even_split").otherwise("leaning_non_graphics_but_uncertain"))
+        .otherwise(F.when(p < F.lit(0.25), "clearly_non_graphics").otherwise("likely_non_graphics"))
+    )
+    return band, reason

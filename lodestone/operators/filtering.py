@@ -36,3 +36,12 @@ def mixed_caps(rows: DataFrame, caps: list[int], key: str = "domain", order: str
         out = out.withColumn("_n", F.count_if(F.coalesce("kept", F.lit(False))).over(w)).withColumn("_k", F.count_if(undecided).over(w.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)))
         out = out.withColumn("kept", F.when(undecided & (F.col("_k") <= c - F.col("_n")), True).when(undecided & (F.col(cap_col) == c), False).otherwise(F.col("kept"))).drop("_n", "_k")
     return out
+
+
+def walked(roots: DataFrame, links: DataFrame, depth: int = 4, most: int = 500) -> DataFrame:
+    """(url, depth) of the sitemaps reached from roots (url) along links (parent, url): each once at its least depth, at most `most` by depth and url."""
+    seen = front = roots.select("url").distinct().withColumn("depth", F.lit(0))
+    for k in range(1, depth + 1):
+        front = links.join(front.select(F.col("url").alias("parent")), "parent").select("url").distinct().join(seen, "url", "left_anti").withColumn("depth", F.lit(k))
+        seen = seen.union(front)
+    return seen.orderBy("depth", "url").limit(most)

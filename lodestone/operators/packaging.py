@@ -41,8 +41,29 @@ def batch_folder(batch: Column, width: int = 2) -> Column:
     return F.concat(F.lit("BATCH_"), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), "0"))
 
 
-def file_name(batch: Column, counter: Column, ext: Column) -> Column:
-    return F.concat(batch_folder(batch), F.lit("_"), F.lpad(counter.cast("string"), 6, "0"), F.lit("."), ext)
+def file_name(batch: Column, counter: Column, ext: Column, kind: str = "file", width: int = 2) -> Column:
+    """BATCH_01_file_00001.pptx; pages are of the kind img."""
+    return F.concat(batch_folder(batch, width), F.lit(f"_{kind}_"), F.lpad(counter.cast("string"), 5, "0"), F.lit("."), ext)
+
+
+def with_names(files: DataFrame, batch: str, counter: str, order: str, ext: Column, kind: str = "file") -> DataFrame:
+    """Fills `counter` and adds delivered_filename: named files keep their counter, others go on after the largest of their batch, in order."""
+    new = F.sum(F.col(counter).isNull().cast("long")).over(W.partitionBy(batch).orderBy(order))
+    last = F.coalesce(F.max(counter).over(W.partitionBy(batch)), F.lit(0).cast("long"))
+    out = files.withColumn("_n", F.coalesce(F.col(counter), last + new)).drop(counter).withColumnRenamed("_n", counter)
+    return out.withColumn("delivered_filename", file_name(F.col(batch), F.col(counter), ext, kind))
+
+
+def next_batch(largest: Column, node: Column, nodes: Column) -> Column:
+    """The smallest batch id over the largest known one that a node owns: those with (id - 1) mod nodes = node."""
+    return largest + 1 + F.pmod(node - largest, nodes)
+
+
+def stale_logs(logs: DataFrame, cutoff: Column, keep: int = 5) -> DataFrame:
+    """Rotated logs (name, ts) older than the cutoff, but for the `keep` newest of all rotated ones."""
+    rotated = logs.where(F.col("name").rlike(r"\.(gz|[0-9]+)$"))
+    newest = rotated.orderBy(F.desc("ts"), F.desc("name")).limit(keep)
+    return rotated.where(F.col("ts") < cutoff).join(F.broadcast(newest.select("ts", "name")), ["ts", "name"], "left_anti")
 
 
 def within_budget(rows: DataFrame, key: str, order: list[str], value: str, cap: float) -> DataFrame:

@@ -11,9 +11,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.functions import decks as D
-from lodestone.functions import screens as S
+from lodestone.functions import robots, screens as S
 from lodestone.functions import urls as U
-from lodestone.operators import dedup, events as E, filtering, packaging, registry as R
+from lodestone.operators import dedup, events as E, filtering, images, packaging, registry as R
 from lodestone.operators.ordered import running
 
 QUERIES: dict = {}
@@ -216,7 +216,7 @@ def stream_gate(spark, d):
 
 
 @query(f"""WITH {FILES}, n AS (SELECT *, row_number() OVER (ORDER BY id) AS c FROM roles WHERE role IN ('high', 'medium'))
-SELECT id, 'BATCH_01_' || lpad(CAST(c AS VARCHAR), 6, '0') || '.txt' AS delivered_filename, sha256, quality AS quality_class, size AS slide_count, 'PASS' AS screen_pii, 'DELIVERED' AS final_status FROM n""")
+SELECT id, 'BATCH_01_file_' || lpad(CAST(c AS VARCHAR), 5, '0') || '.txt' AS delivered_filename, sha256, quality AS quality_class, size AS slide_count, 'PASS' AS screen_pii, 'DELIVERED' AS final_status FROM n""")
 def manifest(spark, d):
     chosen = packaging.batch_selection(_candidates(spark, d), 50).where(F.col("role").isin("high", "medium"))
     c = F.row_number().over(W.orderBy("id"))
@@ -472,3 +472,87 @@ def folder_subset_split(spark, d):
     total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x["count"])
     out = masks.select(F.transform(chosen, lambda x: x["n_regionkey"]).alias("folders"), (total(chosen) / total(F.col("f"))).alias("share"))
     return out.orderBy(F.abs(F.col("share") - 0.4), "folders").limit(1)
+
+
+@query(f"WITH {SLIDES} SELECT deck, slide, a > 0 AS analytical, native_chart + diagram + image_analytical > 0 AS chart_page, image_photo >= 1 AND a = 0 AND text_chars < 200 AS photo_heavy, a = 0 AND image_count = 0 AND vector = 0 AS text_only FROM flags")
+def slide_flags(spark, d):
+    return D.with_flags(_slides(spark, d)).select("deck", "slide", "analytical", "chart_page", "photo_heavy", "text_only")
+
+
+@query(f"WITH {DECKS.replace('MINS', '3').replace('HI::', '0.5::')} SELECT * FROM mt")
+def deck_metrics(spark, d):
+    return D.deck_metrics(_slides(spark, d), "deck")
+
+
+@query("""WITH f AS (SELECT doc_id, doc_id // 100 + 1 AS batch_id, CASE WHEN doc_id % 7 = 0 THEN doc_id % 100 + 1 END AS c FROM documents), n AS (SELECT *, coalesce(c, coalesce(max(c) OVER (PARTITION BY batch_id), 0) + sum(CASE WHEN c IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY batch_id ORDER BY doc_id)) AS counter FROM f)
+SELECT doc_id, batch_id, CAST(counter AS BIGINT) AS counter, 'BATCH_' || lpad(CAST(batch_id AS VARCHAR), CAST(greatest(2, length(CAST(batch_id AS VARCHAR))) AS INTEGER), '0') || '_file_' || lpad(CAST(counter AS VARCHAR), 5, '0') || '.pptx' AS delivered_filename FROM n""")
+def batch_names(spark, d):
+    i = F.col("doc_id")
+    files = table(spark, d, "documents").select("doc_id", (F.floor(i / 100) + 1).alias("batch_id"), F.when(i % 7 == 0, i % 100 + 1).alias("counter"))
+    return packaging.with_names(files, "batch_id", "counter", "doc_id", F.lit("pptx"))
+
+
+@query("SELECT o_orderkey AS largest, node, list_min(list_filter([o_orderkey + 1, o_orderkey + 2, o_orderkey + 3], lambda x: (x - 1) % 3 = node)) AS batch_id FROM orders, (SELECT unnest([0, 1, 2]) AS node)")
+def next_batch_ids(spark, d):
+    """The batch that each of three nodes would open next, after each known id."""
+    known = table(spark, d, "orders").select(F.col("o_orderkey").alias("largest"), F.explode(F.array(*map(F.lit, range(3)))).alias("node"))
+    return known.withColumn("batch_id", packaging.next_batch(F.col("largest"), F.col("node"), F.lit(3)))
+
+
+@query("""WITH l AS (SELECT event_type || '-' || event_id || CASE event_id % 4 WHEN 0 THEN '.jsonl' WHEN 1 THEN '.jsonl.1' WHEN 2 THEN '.jsonl.12' ELSE '.gz' END AS name, ts FROM events),
+r AS (SELECT *, row_number() OVER (ORDER BY ts DESC, name DESC) AS k FROM l WHERE regexp_matches(name, '\\.(gz|[0-9]+)$')) SELECT name, ts FROM r WHERE k > 5 AND ts < TIMESTAMP '2024-01-20'""")
+def rotated_logs(spark, d):
+    i = F.col("event_id")
+    end = F.when(i % 4 == 0, ".jsonl").when(i % 4 == 1, ".jsonl.1").when(i % 4 == 2, ".jsonl.12").otherwise(".gz")
+    logs = table(spark, d, "events").select(F.concat("event_type", F.lit("-"), i.cast("string"), end).alias("name"), "ts")
+    return packaging.stale_logs(logs, F.lit("2024-01-20").cast(logs.schema["ts"].dataType)).select("name", "ts")
+
+
+@query(f"WITH {PAGE_HASHES} SELECT q.id, arg_min(h.id, (bit_count(xor(q.h, h.h)) * 1000000 + h.id)) AS closest_id, CAST(min(bit_count(xor(q.h, h.h))) AS INTEGER) AS distance FROM h q LEFT JOIN h ON q.file_id <> h.file_id WHERE q.id % 20 = 0 GROUP BY q.id")
+def nearest_phash(spark, d):
+    """The closest page of another file to every twentieth page."""
+    h = _page_hashes(spark, d)
+    return dedup.nearest_hash(h.where("id % 20 = 0"), h)
+
+
+LABELS = ("a chart or graph", "a map or geographic visualization", "a diagram or flowchart", "a text document or slide", "a photograph or photo", "a table or spreadsheet")
+
+
+@query("""WITH e AS (SELECT vec_id, [abs(embedding[i]::DOUBLE) FOR i IN range(1, 7)] AS s FROM embeddings), p AS (SELECT vec_id, s[1] + s[2] + s[3] + s[5] AS g, s[4] + s[6] AS n FROM e), r AS (SELECT vec_id, CASE WHEN g + n > 0 THEN g / (g + n) ELSE 0.5 END AS p FROM p)
+SELECT vec_id, round(p, 4) AS graphics_score, CASE WHEN p >= 0.70::DOUBLE THEN 'pass' WHEN p >= 0.40::DOUBLE THEN 'borderline' ELSE 'reject' END AS classification,
+CASE WHEN p >= 0.70::DOUBLE THEN CASE WHEN p > 0.85::DOUBLE THEN 'high_confidence_graphics' ELSE 'moderate_confidence_graphics' END WHEN p >= 0.40::DOUBLE THEN CASE WHEN p > 0.55::DOUBLE THEN 'leaning_graphics_but_uncertain' WHEN p > 0.45::DOUBLE THEN 'even_split' ELSE 'leaning_non_graphics_but_uncertain' END
+ WHEN p < 0.25::DOUBLE THEN 'clearly_non_graphics' ELSE 'likely_non_graphics' END AS reasons FROM r""")
+def label_score_bands(spark, d):
+    """Magnitudes of the first components as scores of labels. A keyword counts inside a word too, so a photograph speaks for graphics."""
+    scores = F.transform(F.slice("embedding", 1, len(LABELS)), lambda x: F.abs(x.cast("double")))
+    e = table(spark, d, "embeddings").select("vec_id", S.label_share(F.array(*map(F.lit, LABELS)), scores).alias("p"))
+    band, reason = S.label_band(F.col("p"))
+    return e.select("vec_id", F.round("p", 4).alias("graphics_score"), band.alias("classification"), reason.alias("reasons"))
+
+
+@query("""WITH RECURSIVE l AS (SELECT page_id, (page_id - 1) // 4 AS parent FROM pages WHERE page_id > 0), w AS (SELECT page_id, 0 AS depth FROM pages WHERE page_id = 0 UNION SELECT l.page_id, depth + 1 FROM l JOIN w ON l.parent = w.page_id WHERE depth < 4)
+SELECT 'sitemap-' || page_id || '.xml' AS url, depth FROM w""")
+def sitemap_walk(spark, d):
+    """Sitemaps numbered as the pages, each an index of the next four."""
+    name = lambda c: F.concat(F.lit("sitemap-"), c.cast("string"), F.lit(".xml"))
+    ids = table(spark, d, "pages").select("page_id")
+    links = ids.where("page_id > 0").select(name(F.floor((F.col("page_id") - 1) / 4)).alias("parent"), name(F.col("page_id")).alias("url"))
+    return filtering.walked(ids.where("page_id = 0").select(name(F.col("page_id")).alias("url")), links)
+
+
+@query("""WITH u AS (SELECT page_id, url, CASE WHEN page_id % 4 < 3 THEN page_id % 4 END AS c, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, CASE c WHEN 0 THEN NOT starts_with(path, '/The') WHEN 1 THEN true WHEN 2 THEN false ELSE true END AS allowed, CASE WHEN c IS NULL THEN 'unavailable' WHEN c = 2 OR (c = 0 AND starts_with(path, '/The')) THEN 'disallowed' ELSE 'allowed' END AS status, CASE WHEN c = 0 THEN 2.0::DOUBLE END AS crawl_delay FROM u""")
+def robots_verdicts(spark, d):
+    """Answers by turns: rules, a client error, a server error, none."""
+    i = F.col("page_id") % 4
+    code = F.when(i == 0, 200).when(i == 1, 404).when(i == 2, 503)
+    text = F.when(i == 0, "User-agent: *\nCrawl-delay: 2\nDisallow: /The\n")
+    return table(spark, d, "pages").select("page_id", robots.verdict(F.col("url"), code, text, "corpusbot").alias("v")).select("page_id", "v.*")
+
+
+@query()
+def page_image_hashes(spark, d):
+    """Embeddings as grey pictures of 8 by 8; hashed as they are and by way of a standard square."""
+    byte = F.array_join(F.transform(F.slice("embedding", 1, 64), lambda x: F.lpad(F.hex(F.least(F.lit(255), F.greatest(F.lit(0), F.floor(x * 128 + 128))).cast("int")), 2, "0")), "")
+    pics = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.lit(8).alias("width"), F.lit(8).alias("height"), F.unhex(byte).alias("grey"))
+    return images.difference_hashes(pics).join(images.difference_hashes(pics, 256).withColumnRenamed("h", "h_invariant"), "id")
