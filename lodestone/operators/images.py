@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 
 
 def _weights(n: int, m: int, kernel: str) -> np.ndarray:
-    """m x n matrix that resamples n pixels to m, by Lanczos of three lobes or by area."""
+    """m x n matrix that resamples n pixels to m: by Lanczos of three lobes, by area, by triangles as wide as the scale, or by the line between two neighbours."""
     scale = n / m
+    if kernel == "linear":
+        at = np.clip((np.arange(m) + 0.5) * scale - 0.5, 0, n - 1)
+        return np.clip(1 - np.abs(np.arange(n)[None, :] - at[:, None]), 0, None)
     wide = max(scale, 1.0)
     x = (np.arange(n)[None, :] + 0.5 - (np.arange(m)[:, None] + 0.5) * scale) / wide
-    w = np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0) if kernel == "lanczos" else np.clip((0.5 + 0.5 / wide) - np.abs(x), 0.0, 1.0 / wide)
+    if kernel == "lanczos":
+        w = np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0)
+    else:
+        w = np.clip(1 - np.abs(x), 0, None) if kernel == "triangle" else np.clip((0.5 + 0.5 / wide) - np.abs(x), 0.0, 1.0 / wide)
     return w / w.sum(axis=1, keepdims=True)
 
 

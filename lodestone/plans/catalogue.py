@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import decks as D
 from lodestone.functions import robots, screens as S
 from lodestone.functions import urls as U
-from lodestone.operators import dedup, events as E, filtering, images, packaging, registry as R
+from lodestone.operators import dedup, drawings, events as E, filtering, images, packaging, pictures, registry as R
 from lodestone.operators.ordered import running
 
 QUERIES: dict = {}
@@ -556,3 +556,40 @@ def page_image_hashes(spark, d):
     byte = F.array_join(F.transform(F.slice("embedding", 1, 64), lambda x: F.lpad(F.hex(F.least(F.lit(255), F.greatest(F.lit(0), F.floor(x * 128 + 128))).cast("int")), 2, "0")), "")
     pics = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.lit(8).alias("width"), F.lit(8).alias("height"), F.unhex(byte).alias("grey"))
     return images.difference_hashes(pics).join(images.difference_hashes(pics, 256).withColumnRenamed("h", "h_invariant"), "id")
+
+
+def _pictures(spark, d):
+    """Embeddings as pictures of 48 by 32: the components as bytes, over and over."""
+    byte = F.array_join(F.transform(F.slice("embedding", 1, 64), lambda x: F.lpad(F.hex(F.least(F.lit(255), F.greatest(F.lit(0), F.floor(x * 128 + 128))).cast("int")), 2, "0")), "")
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "label", F.lit(48).alias("width"), F.lit(32).alias("height"), F.unhex(F.repeat(byte, F.lit(72))).alias("rgb"))
+
+
+@query()
+def image_votes(spark, d):
+    return pictures.voted(pictures.with_signals(_pictures(spark, d)))
+
+
+@query()
+def image_anomalies(spark, d):
+    """Labels as batches."""
+    return pictures.batch_anomalies(_pictures(spark, d), "label")
+
+
+@query()
+def plain_image_scores(spark, d):
+    return pictures.plain_scores(_pictures(spark, d))
+
+
+@query(r"""WITH i AS (SELECT l_suppkey AS page_id, l_orderkey // 20 AS drawing_id, CASE l_linenumber % 3 WHEN 1 THEN 'l' WHEN 2 THEN 're' ELSE 'c' END AS kind, abs(l_quantity - 25) AS dx, CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS dy FROM lineitem),
+p AS (SELECT page_id, drawing_id, count(*) AS n, count(*) FILTER (WHERE kind = 'l' AND (dx < 0.5 OR dy < 0.5) AND dx + dy > 20) AS hv, count(*) FILTER (WHERE kind = 're') AS re FROM i GROUP BY ALL),
+g AS (SELECT page_id, count(*) FILTER (WHERE n >= 3) AS vector, CAST(sum(hv) AS BIGINT) AS hv_lines, CAST(sum(re) AS BIGINT) AS rects FROM p GROUP BY ALL),
+t AS (SELECT doc_id AS page_id, CAST(length(regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]', '', 'g')) AS BIGINT) AS text_chars, CAST(len(regexp_extract_all(coalesce(text, ''), '(?m)^\s*[•▪◦‣·o\-*]\s+\S')) AS BIGINT) AS bullets FROM documents)
+SELECT page_id, text_chars, bullets, coalesce(vector, 0) AS vector, coalesce(hv_lines, 0) AS hv_lines, coalesce(rects, 0) AS rects, CAST(coalesce(hv_lines, 0) >= 6 AND coalesce(vector, 0) >= 12 AS INTEGER) AS native_chart, CAST(coalesce(rects, 0) >= 8 AND text_chars > 100 AS INTEGER) AS table_ FROM t LEFT JOIN g USING (page_id)""")
+def page_drawings(spark, d):
+    """Line items as items of drawings on pages, documents as the pages' texts."""
+    n, q = F.col("l_linenumber") % 3, F.col("l_quantity")
+    items = table(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("page_id"), F.floor(F.col("l_orderkey") / 20).alias("drawing_id"), F.when(n == 1, "l").when(n == 2, "re").otherwise("c").alias("kind"),
+        q.alias("x0"), F.lit(0.0).alias("y0"), F.lit(25.0).alias("x1"), F.when(F.col("l_returnflag") == "N", 0.0).otherwise(1.0).alias("y1"),
+    )
+    return drawings.page_facts(table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), "text"), items)

@@ -1,7 +1,9 @@
-"""Readers: url indexes, seed lists, catalogs, handoff files, hash lists, sidecars and decks."""
+"""Readers: url indexes, seed lists, catalogs, handoff files, hash lists, sidecars, decks and images."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,6 +145,33 @@ def pptx_slides(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, slide int, native_chart int, diagram int, table_ int, ole int, image_count int, text_chars int, bullets int, text string, error string")
 
 
+def pictures(spark: SparkSession, path: str) -> DataFrame:
+    """Images under a folder, decoded by the JVM: id (the path), width, height and rgb (three bytes a pixel); null pixels for what is no image."""
+
+    @F.pandas_udf("binary")
+    def ordered(data: pd.Series, channels: pd.Series) -> pd.Series:
+        out = []
+        for d, n in zip(data, channels):
+            px = np.frombuffer(bytes(d), np.uint8).reshape(-1, int(n)) if n in (1, 3, 4) else None
+            # Three or four channels come blue first.
+            out.append(None if px is None else (px.repeat(3, 1) if n == 1 else px[:, 2::-1]).tobytes())
+        return pd.Series(out, dtype=object)
+
+    i = spark.read.format("image").option("recursiveFileLookup", "true").load(path).select("image.*")
+    return i.select(F.col("origin").alias("id"), F.nullif("width", F.lit(-1)).alias("width"), F.nullif("height", F.lit(-1)).alias("height"), ordered("data", "nChannels").alias("rgb"))
+
+
+def grey(pictures: DataFrame) -> DataFrame:
+    """id, width, height and grey (one byte a pixel, luma in 16-bit fixed point) of colour images."""
+
+    @F.pandas_udf("binary")
+    def luma(rgb: pd.Series) -> pd.Series:
+        mixed = lambda d: ((np.frombuffer(bytes(d), np.uint8).reshape(-1, 3).astype(np.int64) @ np.array([19595, 38470, 7471]) + 0x8000) >> 16).astype(np.uint8)
+        return pd.Series([None if d is None else mixed(d).tobytes() for d in rgb], dtype=object)
+
+    return pictures.select("id", "width", "height", luma("rgb").alias("grey"))
+
+
 def sniffed(content: Column) -> Column:
     """zip, pdf, ole2 or null by the first bytes."""
     head = F.hex(F.substring(content, 1, 8))
