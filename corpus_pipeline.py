@@ -20,8 +20,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of runs of lines; those of which nothing is left go. n_chars follows the text."""
-    out = line_dedup(docs).where("n_removed = 0 or length(trim(text)) > 0")
+    """Documents without later copies of runs of lines, or of one long line; those of which nothing is left go. n_chars follows the text."""
+    out = line_dedup(docs, long_lines=True).where("n_removed = 0 or length(trim(text)) > 0")
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 

@@ -7,7 +7,8 @@ whose prefix is unique leave after each round. The rounds end at the shortest
 run that counts: two suffixes of one rank share an interval of longest common
 prefix of at least that depth, a longer repeated run is a chain of such
 intervals, and overlapping ones are merged into maximal runs. All but the first
-copy (by doc_id, then place) of a run are deleted.
+copy (by doc_id, then place) of a run are deleted. Where asked for, a long line
+is a run by itself, from the ranks of round 0.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import cut, packed, table, unpacked, with_row_key
+from lodestone.llm.common import cut, packed, table, unpacked, with_row_key, words
 
 MIN_LINES = 2
+#: A line of more words, or of more bytes (scripts without blanks), is long.
+LONG_WORDS, LONG_BYTES = 50, 500
 
 
 def ranked(pairs: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,39 +31,49 @@ def ranked(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def repeated_places(lines: DataFrame, min_lines: int) -> DataFrame:
-    """(_row, i) of suffixes whose first min_lines lines occur at an earlier place. lines: _row, _none, _id, i, line (its digest)."""
+    """(_row, i, n): the n lines from i on occur at an earlier place; n is min_lines, or 1 for a long line. lines: _row, _none, _id, i, line (its digest); long, if long lines count."""
     names = ["_row", "_none", "_id", "i"]
+    later = F.struct("_none", "_id", "_row", "i") != F.col("first")
     classes = ranked(lines, ["line"])
-    now = lines.join(classes, "line").select(*names, F.col("rank_").alias("r"), "first")
+    marks = [c for c in lines.columns if c == "long"]
+    now = lines.join(classes, "line").select(*names, *marks, F.col("rank_").alias("r"), "first")
+    if marks:
+        now = cut(now)
+        alone = now.where("long").where(later).select("_row", "i", F.lit(1).alias("n"))
+        now = now.drop("long")
     depth = 1
     while depth < min_lines:
-        now = cut(now)
+        now = now if marks and depth == 1 else cut(now)
         step = min(depth, min_lines - depth)
         ahead = now.select("_row", (F.col("i") - step).alias("i"), F.col("r").alias("r2"))
         pairs = now.drop("first").join(ahead, ["_row", "i"])
         classes = ranked(pairs, ["r", "r2"])
         now = pairs.join(classes, ["r", "r2"]).select(*names, F.col("rank_").alias("r"), "first")
         depth += step
-    return now.where(F.struct("_none", "_id", "_row", "i") != F.col("first")).select("_row", "i")
+    runs = now.where(later).select("_row", "i", F.lit(min_lines).alias("n"))
+    return runs.union(alone) if marks else runs
 
 
-def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, long_lines: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with text cut to what stays, and n_lines, n_removed (lines that are not blank), n_runs (maximal deleted runs).
 
     Lines end at \\n. Blank lines (white space only) belong to no run, do not part one and are kept. Of equal runs the one in
     the document of the smallest id stays (null ids last, then row order). Null texts stay null, with no lines; repeated
-    rows count as copies of each other; extra columns pass through. Runs do not reach over documents.
+    rows count as copies of each other; extra columns pass through. Runs do not reach over documents. A run has min_lines
+    lines at least; with long_lines, one line of over LONG_WORDS words or LONG_BYTES bytes also counts as a run.
     """
     keyed = packed(docs, id_col, text_col)
     split = F.split(F.coalesce(F.col("_1"), F.lit("")), "\n", -1)
     full = F.filter(split, lambda x: F.length(F.trim(x)) > 0)
+    # More than LONG_WORDS words take more than twice as many characters; shorter lines aren't split.
+    long = (F.octet_length("text_") > LONG_BYTES) | ((F.length("text_") > 2 * LONG_WORDS) & (F.size(words(F.col("text_"))) > LONG_WORDS))
     lines = (
         with_row_key(docs.select(id_col, text_col)).select("_row", F.col(id_col).alias("_0"), F.col(text_col).alias("_1"))
         .select("_row", F.col("_0").isNull().alias("_none"), F.col("_0").alias("_id"), F.posexplode(full).alias("i", "text_"))
-        .select("_row", "_none", "_id", "i", F.unhex(F.md5("text_")).alias("line"))
+        .select("_row", "_none", "_id", "i", F.unhex(F.md5("text_")).alias("line"), *([long.alias("long")] if long_lines else []))
     )
     starts = repeated_places(lines, min_lines)
-    gone = starts.select("_row", F.explode(F.sequence(F.col("i"), F.col("i") + (min_lines - 1))).alias("i")).groupBy("_row").agg(F.array_sort(F.collect_set("i")).alias("_gone"))
+    gone = starts.select("_row", F.explode(F.sequence(F.col("i"), F.col("i") + (F.col("n") - 1))).alias("i")).groupBy("_row").agg(F.array_sort(F.collect_set("i")).alias("_gone"))
     out = keyed.join(gone, "_row", "left")
     no, gaps = F.array().cast("array<string>"), F.col("_gone")
     # Lines that are not blank are numbered as above; of them, those in _gone fall out.

@@ -294,3 +294,19 @@ def test_pipeline(spark, docs, tmp_path):
         assert now.count() == before
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.where("doc_id = 2").count() == 0 and out.where("doc_id = 3").count() == 1
+
+
+def test_long_lines(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(21)
+    passage, short, wide = prose(rnd, 60), prose(rnd, 40), "語" * 200
+    around = lambda x: "\n".join([prose(rnd, 8), x, prose(rnd, 8)])
+    rows = [(0, passage), (1, passage), (2, around(passage)), (3, around(short)), (4, around(short)), (5, around(wide)), (6, around(wide)), (7, passage + "\n" + passage)]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.n_removed, r.n_runs, r.text) for r in line_dedup.line_dedup(df, long_lines=True).collect()}
+    without = lambda t: "\n".join(t.split("\n")[::2])
+    assert got == {0: (0, 0, passage), 1: (1, 1, ""), 2: (1, 1, without(rows[2][1])), 3: (0, 0, rows[3][1]), 4: (0, 0, rows[4][1]), 5: (0, 0, rows[5][1]), 6: (1, 1, without(rows[6][1])), 7: (2, 1, "")}
+    assert line_dedup.line_dedup(df).where("n_removed > 0").count() == 0
+    kept = corpus_pipeline.line_stage(spark, df, str(tmp_path)).collect()
+    assert {r.doc_id for r in kept} == {0, 2, 3, 4, 5, 6} and all(r.n_chars == len(r.text) for r in kept)
