@@ -6,6 +6,8 @@ already intersected at offset 1. For each window of a benchmark item the rarest
 term by corpus count is its anchor; the anchor's postings, adjusted by its
 offset in the item, give candidate alignments (row, item, shift). Alignments
 are then matched exactly, window by window, against the words of the document.
+Near matches intersect the postings of all terms of an item, offset-adjusted:
+enough of them must lie within a slack of each other.
 """
 
 from __future__ import annotations
@@ -14,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import cut, joined_small, packed, table, unpacked, with_row_key, words
+from lodestone.llm.common import BROADCAST_ROWS, cut, joined_small, packed, table, unpacked, with_row_key, words
 
 WINDOW = 10
+#: An item is near where this share of its terms, or as many as a window has, stand with shifts that differ by at most SLACK
+#: words (never by more than twice that); it takes LEAST_TERMS at least, or all if it has fewer.
+SHARE, SLACK, LEAST_TERMS = 0.5, 10, 3
 
 
 def items_of(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -40,8 +45,27 @@ def positional_index(docs: DataFrame, dictionary: DataFrame, single: DataFrame |
     return postings
 
 
-def alignments(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Distinct (_row, _item, shift): where a window's rarest term stands; shift: document position less item position."""
+def near_matches(index: DataFrame, at: DataFrame, small, size: int = WINDOW) -> DataFrame:
+    """Distinct (_row, _item): rows where an item is near. at: _item, p, term; small: how tables of at most its size are joined.
+
+    Of an item's n terms, `need` must be there; so one of its n - need + 1 rarest is, and rows without any are not looked at.
+    """
+    of_item = W.partitionBy("_item")
+    n = F.count("*").over(of_item)
+    ranked = at.join(index.groupBy("term").count(), "term", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    ranked = ranked.select("_item", "p", "term", n.alias("n"), F.row_number().over(of_item.orderBy("count", "p")).alias("k"))
+    ranked = ranked.withColumn("need", F.greatest(F.least("n", F.lit(LEAST_TERMS)), F.least(F.ceil(F.col("n") * SHARE), F.lit(size - 1))))
+    seeds = ranked.where("k <= n - need + 1").select("_item", "term").distinct()
+    rows = index.join(small(seeds), "term").select("_row", "_item").distinct()
+    pairs = index.join(rows, "_row").join(small(ranked.select("_item", "term", "p", "need")), ["_item", "term"])
+    # A stretch holds 2 * SLACK shifts and begins at each SLACK, so shifts that differ by at most SLACK share one.
+    stretch = F.floor((F.col("pos") - F.col("p")) / SLACK)
+    placed = pairs.select("_row", "_item", "p", "need", F.explode(F.array(stretch - 1, stretch)).alias("stretch")).distinct()
+    return placed.groupBy("_row", "_item", "stretch", "need").count().where("count >= need").select("_row", "_item").distinct()
+
+
+def alignments(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Distinct (_row, _item, shift): where a window's rarest term stands; shift: document position less item position. And near_matches()."""
     places = cut(terms(items, "iw", "_item").where(F.col("t2").isNotNull() | (F.col("pos") == 0)))
     lone = items.where(F.size("iw") == 1).select(F.col("iw")[0].alias("t1")).distinct()
     dictionary = cut(places.where(F.col("t2").isNotNull()).select("t1", "t2").distinct().withColumn("term", F.monotonically_increasing_id()))
@@ -60,20 +84,25 @@ def alignments(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFra
     )
     rarest = W.partitionBy("_item", "start").orderBy("count", "p")
     anchors = cut(within.withColumn("k", F.row_number().over(rarest)).where("k = 1").select("_item", "p", "term").distinct())
-    return joined_small(index, anchors, "term").select("_row", "_item", (F.col("pos") - F.col("p")).alias("shift")).distinct()
+    few = places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    near = near_matches(index, at, F.broadcast if few else lambda df: df, size)
+    return joined_small(index, anchors, "term").select("_row", "_item", (F.col("pos") - F.col("p")).alias("shift")).distinct(), near
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The columns of docs, and n_words, hits (distinct word positions in benchmark windows), items (distinct item ids as text, sorted) and near_items (those of which an anchor term occurs).
+    """The columns of docs, and n_words, hits (distinct word positions in benchmark windows), items (distinct item ids as text, sorted) and near_items (those that stand there exactly or nearly: see SHARE).
 
     Null or empty texts have no words and no hits; items without words match nothing; items with fewer than `size` words
     match whole. Repeated rows are each judged; null item ids stand as ''. An empty benchmark leaves all rows without hits.
     """
     items = cut(items_of(benchmark, item_col, item_text_col))
-    found = alignments(with_row_key(docs.select(text_col)).select("_row", words(F.col(text_col)).alias("w")), items, size)
+    found, near = alignments(with_row_key(docs.select(text_col)).select("_row", words(F.col(text_col)).alias("w")), items, size)
     lists = joined_small(found, items, "_item").groupBy("_row").agg(F.collect_list(F.struct(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "iw", "shift")).alias("_found"))
     # The words of rows with candidates come out of a generator: a filter on what is added can't be pushed below it, where it would split the text again.
     out = packed(docs, text_col).join(lists, "_row", "left").withColumn("w", F.explode(F.array(F.when(F.col("_found").isNotNull(), words(F.col("_0"))))))
+    # No row is in it twice, so the join falls away where near_items isn't asked for.
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
+    near = joined_small(near, items.select("_item", item.alias("item")), "_item").groupBy("_row").agg(F.collect_set("item").alias("_near"))
     w = F.col("w")
 
     def hit_starts(c):
@@ -92,9 +121,9 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, te
     added = {
         "n_words": F.size(F.coalesce("w", words(F.col("_0")))).cast("long"), "hits": F.coalesce(F.array_distinct(spread), F.array().cast("array<int>")),
         "items": F.coalesce(F.array_sort(F.array_distinct(F.transform("_exact", lambda c: c["item"]))), none),
-        "near_items": F.coalesce(F.array_sort(F.array_distinct(F.transform("_found", lambda c: c["item"]))), none),
+        "near_items": F.coalesce(F.array_sort("_near"), none),
     }
-    return unpacked(out, docs, added)
+    return unpacked(out.join(near, "_row", "left"), docs, added)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

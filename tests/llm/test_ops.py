@@ -310,3 +310,18 @@ def test_long_lines(spark, tmp_path):
     assert line_dedup.line_dedup(df).where("n_removed > 0").count() == 0
     kept = corpus_pipeline.line_stage(spark, df, str(tmp_path)).collect()
     assert {r.doc_id for r in kept} == {0, 2, 3, 4, 5, 6} and all(r.n_chars == len(r.text) for r in kept)
+
+
+def test_near_items(spark):
+    rnd = random.Random(31)
+    item, other = [f"w{i}" for i in range(30)], [f"v{i}" for i in range(5)]
+    changed = [f"x{i}" if i % 6 == 3 else x for i, x in enumerate(item)]  # no window of ten words is left
+    inserted = [y for i, x in enumerate(item) for y in ([x, "new"] if i % 7 == 4 else [x])]
+    part = item[4:23]
+    part[9] = "y"
+    pairs = [y for i in range(0, 28, 2) for y in [*item[i : i + 2], *prose(rnd, 40).split()]]  # half of the pairs, but far from each other
+    rows = [item, changed, inserted, part, pairs, ["w8", "w9"], item[::-1], other, ["v0", "v1", "v2", "z", "v4"], []]
+    docs = spark.createDataFrame([(i, " ".join(prose(rnd, 9).split() + x + prose(rnd, 9).split())) for i, x in enumerate(rows)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other)), (3, None), (None, "v3 v4")], "item_id long, text string")
+    got = {r.doc_id: (r["items"], r.near_items) for r in decontaminate.decontaminated(docs, bench).collect()}
+    assert got == {0: (["1"], ["1"]), 1: ([], ["1"]), 2: ([], ["1"]), 3: ([], ["1"]), 4: ([], []), 5: ([], []), 6: ([], []), 7: (["", "2"], ["", "2"]), 8: ([], []), 9: ([], [])}
