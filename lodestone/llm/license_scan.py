@@ -21,25 +21,26 @@ from lodestone.llm.common import packed, table, unpacked, with_row_key, words
 #: (label, keyword, name as a regex over words, SPDX identifier as words). The keyword is a word of every text that the name matches.
 LICENSES = (
     ("mit", "mit", "mit", "mit"), ("mit", "expat", "expat", "expat"), ("mit-0", "0", "mit 0", "mit 0"), ("x11", "x11", "x11", "x11"), ("isc", "isc", "isc", "isc"),
-    ("apache-2", "apache", "apache(?: software)?(?: license)?(?: version| v)? 2(?: 0)?", "apache 2 0"), ("apache-1.1", "apache", "apache(?: software)?(?: license)?(?: version| v)? 1 1", "apache 1 1"), ("apache", "apache", "apache(?: software)?", "apache"),
+    ("apache-2", "apache", "apache(?: software)?(?: license)?(?: version | v ?| )2(?: 0)?", "apache 2 0"), ("apache-1.1", "apache", "apache(?: software)?(?: license)?(?: version | v ?| )1 1", "apache 1 1"), ("apache", "apache", "apache(?: software)?", "apache"),
     ("bsd-2", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd)", "bsd 2 clause"), ("bsd-3", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)", "bsd 3 clause"), ("bsd-4", "bsd", "(?:bsd 4 clause|4 clause bsd)", "bsd 4 clause"), ("0bsd", "0bsd", "0bsd", "0bsd"), ("bsd", "bsd", "bsd", "bsd"),
-    ("gpl-3", "gnu", "gnu general public license(?: version| v)? 3(?: 0)?", "gnu gpl 3 0"), ("gpl-3", "gpl", "gpl(?: version| v)? 3(?: 0)?", "gpl 3 0"), ("gpl-3", "gplv3", "gplv3", "gplv3"),
-    ("gpl-2", "gnu", "gnu general public license(?: version| v)? 2(?: 0)?", "gnu gpl 2 0"), ("gpl-2", "gpl", "gpl(?: version| v)? 2(?: 0)?", "gpl 2 0"), ("gpl-2", "gplv2", "gplv2", "gplv2"), ("gpl", "gnu", "gnu (?:gpl|general public license)", "gnu gpl"), ("gpl", "gpl", "gpl", "gpl"),
-    ("lgpl-2.1", "lgpl", "lgpl(?: version| v)? 2 1", "lgpl 2 1"), ("lgpl-3", "lgpl", "lgpl(?: version| v)? 3(?: 0)?", "lgpl 3 0"), ("lgpl", "lesser", "gnu lesser general public license", "gnu lesser"), ("lgpl", "lgpl", "lgpl", "lgpl"),
-    ("agpl-3", "affero", "(?:gnu )?affero general public license(?: version| v)?(?: 3)?(?: 0)?", "affero"), ("agpl-3", "agpl", "agpl(?: version| v)?(?: 3)?(?: 0)?", "agpl 3 0"), ("fdl", "gfdl", "gfdl", "gfdl"), ("fdl", "documentation", "gnu free documentation license", "gnu fdl documentation"),
-    ("mpl-2", "mozilla", "mozilla public license(?: version| v)? 2(?: 0)?", "mozilla 2 0"), ("mpl-2", "mpl", "mpl(?: version| v)? 2(?: 0)?", "mpl 2 0"), ("mpl-1.1", "mpl", "mpl(?: version| v)? 1 1", "mpl 1 1"), ("mpl", "mozilla", "mozilla public", "mozilla"), ("mpl", "mpl", "mpl", "mpl"),
-    ("epl-2", "eclipse", "eclipse public license(?: version| v)? 2(?: 0)?", "eclipse 2 0"), ("epl-1", "eclipse", "eclipse public license(?: version| v)? 1(?: 0)?", "eclipse 1 0"), ("epl", "epl", "epl", "epl"), ("cddl", "cddl", "cddl(?: 1 [01])?", "cddl 1 0"), ("eupl", "eupl", "eupl(?: v?1 2)?", "eupl 1 2"), ("cecill", "cecill", "cecill", "cecill"),
+    ("gpl-3", "gnu", "gnu general public license(?: version | v ?| )3(?: 0)?", "gnu gpl 3 0"), ("gpl-3", "gpl", "gpl(?: version | v ?| )3(?: 0)?", "gpl 3 0"), ("gpl-3", "gplv3", "gplv3", "gplv3"),
+    ("gpl-2", "gnu", "gnu general public license(?: version | v ?| )2(?: 0)?", "gnu gpl 2 0"), ("gpl-2", "gpl", "gpl(?: version | v ?| )2(?: 0)?", "gpl 2 0"), ("gpl-2", "gplv2", "gplv2", "gplv2"), ("gpl", "gnu", "gnu gpl", "gnu gpl"), ("gpl", "gnu", "gnu general public license", "gnu general"), ("gpl", "gpl", "gpl", "gpl"),
+    ("lgpl-2.1", "lgpl", "lgpl(?: version | v ?| )2 1", "lgpl 2 1"), ("lgpl-3", "lgpl", "lgpl(?: version | v ?| )3(?: 0)?", "lgpl 3 0"), ("lgpl-2.1", "gnu", "gnu lesser general public license(?: version | v ?| )2 1", "gnu lgpl 2 1"), ("lgpl-3", "gnu", "gnu lesser general public license(?: version | v ?| )3(?: 0)?", "gnu lgpl 3 0"), ("lgpl", "gnu", "gnu (?:lesser|library) general public license", "gnu lesser"), ("lgpl", "lgpl", "lgpl", "lgpl"),
+    ("agpl-3", "affero", "(?:gnu )?affero general public license(?:(?: version | v ?| )3(?: 0)?)?", "affero"), ("agpl-3", "agpl", "agpl(?:(?: version | v ?| )3(?: 0)?)?", "agpl 3 0"), ("fdl", "gfdl", "gfdl", "gfdl"), ("fdl", "documentation", "gnu free documentation license", "gnu fdl documentation"),
+    ("mpl-2", "mozilla", "mozilla public license(?: version | v ?| )2(?: 0)?", "mozilla 2 0"), ("mpl-2", "mpl", "mpl(?: version | v ?| )2(?: 0)?", "mpl 2 0"), ("mpl-1.1", "mpl", "mpl(?: version | v ?| )1 1", "mpl 1 1"), ("mpl-1.1", "mozilla", "mozilla public license(?: version | v ?| )1 1", "mozilla 1 1"), ("mpl", "mozilla", "mozilla public", "mozilla"), ("mpl", "mpl", "mpl", "mpl"),
+    ("epl-2", "eclipse", "eclipse public license(?: version | v ?| )2(?: 0)?", "eclipse 2 0"), ("epl-1", "eclipse", "eclipse public license(?: version | v ?| )1(?: 0)?", "eclipse 1 0"), ("epl", "eclipse", "eclipse public", "eclipse"), ("epl", "epl", "epl", "epl"), ("cddl", "cddl", "cddl(?: 1 [01])?", "cddl 1 0"), ("eupl", "eupl", "eupl(?: v?1 2)?", "eupl 1 2"), ("cecill", "cecill", "cecill", "cecill"),
     ("cc-by-nc-sa", "nc", "cc by nc sa(?: [1234](?: [05])?)?", "cc by nc sa 4 0"), ("cc-by-nc-nd", "nc", "cc by nc nd(?: [1234](?: [05])?)?", "cc by nc nd 4 0"), ("cc-by-nc", "nc", "cc by nc(?: [1234](?: [05])?)?", "cc by nc 4 0"), ("cc-by-sa", "sa", "cc by sa(?: [1234](?: [05])?)?", "cc by sa 4 0"), ("cc-by-nd", "nd", "cc by nd(?: [1234](?: [05])?)?", "cc by nd 4 0"), ("cc-by", "cc", "cc by(?: [1234](?: [05])?)?", "cc by 4 0"),
-    ("cc-by-nc-sa", "noncommercial", "creative commons attribution noncommercial sharealike", "attribution noncommercial sharealike"), ("cc-by-nc-nd", "noncommercial", "creative commons attribution noncommercial noderiv(?:ative)?s", "attribution noncommercial noderivs"), ("cc-by-nc", "noncommercial", "creative commons attribution noncommercial", "attribution noncommercial"), ("cc-by-sa", "sharealike", "creative commons attribution sharealike", "attribution sharealike"), ("cc-by", "creative", "creative commons attribution", "creative attribution"), ("cc0", "cc0", "cc0(?: 1 0)?", "cc0 1 0"), ("cc0", "creative", "creative commons zero", "creative zero"), ("cc", "creative", "creative commons", "creative"),
+    ("cc-by-nc-sa", "creative", "creative commons attribution non ?commercial share ?alike(?: [1234] [05])?(?: international| unported| generic)?", "creative attribution noncommercial sharealike"), ("cc-by-nc-nd", "creative", "creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1234] [05])?(?: international| unported| generic)?", "creative attribution noncommercial noderivs"), ("cc-by-nc", "creative", "creative commons attribution non ?commercial(?: [1234] [05])?(?: international| unported| generic)?", "creative attribution noncommercial"), ("cc-by-sa", "creative", "creative commons attribution share ?alike(?: [1234] [05])?(?: international| unported| generic)?", "creative attribution sharealike"), ("cc-by-nd", "creative", "creative commons attribution no ?deriv(?:ative)?s(?: [1234] [05])?(?: international| unported| generic)?", "creative attribution noderivs"), ("cc-by", "creative", "creative commons attribution(?: [1234] [05])?(?: international| unported| generic)?", "creative attribution"), ("cc0", "cc0", "cc0(?: 1 0)?", "cc0 1 0"), ("cc0", "creative", "creative commons zero", "creative zero"), ("cc", "creative", "creative commons", "creative"),
     ("zlib", "zlib", "zlib", "zlib"), ("bsl-1", "boost", "boost software", "boost"), ("unlicense", "unlicense", "unlicense", "unlicense"), ("wtfpl", "wtfpl", "wtfpl", "wtfpl"), ("artistic-2", "artistic", "artistic(?: license)?(?: 2(?: 0)?)?", "artistic 2 0"), ("ofl", "ofl", "(?:sil )?ofl(?: 1 1)?", "ofl 1 1"), ("ofl", "sil", "sil open font", "sil"), ("odbl", "odbl", "odbl(?: 1 0)?", "odbl 1 0"), ("pddl", "pddl", "pddl", "pddl"), ("python-2", "python", "python(?: software foundation)?", "python 2 0"), ("postgresql", "postgresql", "postgresql", "postgresql"), ("openssl", "openssl", "openssl", "openssl"), ("ms-pl", "microsoft", "microsoft public", "microsoft public"), ("ms-rl", "microsoft", "microsoft reciprocal", "microsoft reciprocal"), ("osl-3", "osl", "osl(?: 3(?: 0)?)?", "osl 3 0"), ("afl-3", "afl", "afl(?: 3(?: 0)?)?", "afl 3 0"), ("upl", "upl", "upl", "upl 1 0"), ("sspl", "sspl", "sspl", "sspl 1 0"), ("elastic-2", "elastic", "elastic(?: license)?(?: 2(?: 0)?)?", "elastic 2 0"), ("busl", "busl", "busl(?: 1 1)?", "busl 1 1"), ("ncsa", "ncsa", "ncsa", "ncsa"), ("php", "php", "php", "php 3 01"), ("ruby", "ruby", "ruby", "ruby"), ("vim", "vim", "vim", "vim"),
+    ("cddl", "distribution", "common development and distribution license(?:(?: version | v ?| )1 [01])?", "distribution"), ("eupl", "european", "european union public licen[cs]e(?:(?: version | v ?| )1 [12])?", "european"), ("osl-3", "open", "open software license(?:(?: version | v ?| )3(?: 0)?)?", "open"), ("afl-3", "academic", "academic free license(?:(?: version | v ?| )3(?: 0)?)?", "academic"), ("upl", "permissive", "universal permissive license", "permissive"), ("sspl", "server", "server side public license", "server"), ("busl", "business", "business source license", "business"), ("odbl", "database", "open database license", "database"), ("pddl", "dedication", "public domain dedication and license", "dedication"), ("ncsa", "ncsa", "ncsa open source license", "ncsa"), ("mit-0", "attribution", "mit no attribution license", "attribution"),
 )
-#: (name, priority, regex with N for the license's name, stem that must stand in the text)
+#: (name, priority, regex with N for the license's name and L for the name with the word license in or after it, stem that must stand in the text)
 FORMS = (
     ("identifier", 100, "spdx license identifier {I}", "spdx"),
-    ("licensed-under", 90, "licensed under (?:the )?(?:terms of (?:the )?)?{N}(?: public)?(?: licen[cs]es?)?", "licensed under"),
-    ("released-under", 85, "(?:released|distributed|available|published|provided|covered|governed|made available|shared) (?:under|by) (?:the )?(?:terms of (?:the )?)?{N}(?: public)?(?: licen[cs]es?)?", "licen"),
-    ("under", 80, "under (?:the |an? )?(?:terms of (?:the )?)?{N}(?: public)? licen[cs]es?", "licen"),
-    ("named", 70, "{N}(?: public)? licen[cs]es?", "licen"),
+    ("licensed-under", 90, "licensed under (?:the |an? )?(?:terms (?:and conditions )?of (?:the )?)?{N}(?: public)?(?: licen[cs]es?)?", "licensed under"),
+    ("released-under", 85, "(?:released|distributed|available|published|provided|covered|governed|made available|shared) (?:under|by) (?:the |an? )?(?:terms (?:and conditions )?of (?:the )?)?{N}(?: public)?(?: licen[cs]es?)?", "licen"),
+    ("under", 80, "under (?:the |an? )?(?:terms (?:and conditions )?of (?:the )?)?{L}", "licen"),
+    ("named", 70, "{L}", "licen"),
 )
 #: (label, keyword, regex, priority, stem): rules that name no license of the table.
 OTHERS = (
@@ -54,6 +55,14 @@ OTHERS = (
 BASE = (("mit", "mit", "under the mit license"), ("apache-2", "apache", "apache license version 2"), ("cc-by-nc", "nc", "cc by nc"))
 
 
+def with_license(name: str) -> str:
+    """Regex of the name with the word license, which stands in it or follows."""
+    own, after = name.replace("(?: license)?", " license"), f"{name}(?: public)? licen[cs]es?"
+    if own != name:
+        return f"(?:{own}|{after})"
+    return name if "licen" in name else after
+
+
 def rules() -> list[dict]:
     """All rules: rule (their order), label, keyword, stem, pattern, priority, base."""
     whole = r"(?<= )(?:{})(?= )".format
@@ -62,7 +71,7 @@ def rules() -> list[dict]:
         for form, priority, pattern, stem in FORMS:
             if form == "identifier" and keyword not in identifier.split():
                 continue
-            out.append({"label": label, "keyword": keyword, "stem": stem, "pattern": whole(pattern.replace("{N}", name).replace("{I}", identifier)), "priority": priority, "base": False})
+            out.append({"label": label, "keyword": keyword, "stem": stem, "pattern": whole(pattern.replace("{N}", name).replace("{L}", with_license(name)).replace("{I}", identifier)), "priority": priority, "base": False})
     out += [{"label": a, "keyword": k, "stem": s, "pattern": whole(p), "priority": n, "base": False} for a, k, p, n, s in OTHERS]
     return [{"rule": i, **r} for i, r in enumerate(out)]
 

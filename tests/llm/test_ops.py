@@ -325,3 +325,24 @@ def test_near_items(spark):
     bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other)), (3, None), (None, "v3 v4")], "item_id long, text string")
     got = {r.doc_id: (r["items"], r.near_items) for r in decontaminate.decontaminated(docs, bench).collect()}
     assert got == {0: (["1"], ["1"]), 1: ([], ["1"]), 2: ([], ["1"]), 3: ([], ["1"]), 4: ([], []), 5: ([], []), 6: ([], []), 7: (["", "2"], ["", "2"]), 8: ([], []), 9: ([], [])}
+
+
+NOTICES = {
+    "under the terms of the GNU General Public License as published by the Free Software Foundation": "gpl", "GNU General Public License, version 3": "gpl-3", "GNU General Public License v2.0 or later": "gpl-2",
+    "GNU General Public License v3": "gpl-3", "the GNU Lesser General Public License": "lgpl", "GNU Library General Public License": "lgpl", "GNU Lesser General Public License version 2.1": "lgpl-2.1", "GNU Lesser General Public License v3.0": "lgpl-3",
+    "GNU Affero General Public License v3": "agpl-3", "under the GNU Affero General Public License": "agpl-3", "Eclipse Public License 2.0": "epl-2", "Eclipse Public License - v 1.0": "epl-1", "Eclipse Public License": "epl",
+    "under the GNU Free Documentation License": "fdl", "Mozilla Public License 2.0": "mpl-2", "the terms of the Mozilla Public License, v. 2.0.": "mpl-2", "Mozilla Public License 1.1": "mpl-1.1", "Mozilla Public License": "mpl",
+    "Apache License 2.0": "apache-2", "Apache Software License 1.1": "apache-1.1", "Apache License": "apache", "Artistic License 2.0": "artistic-2", "Elastic License 2.0": "elastic-2", "Boost Software License - Version 1.0": "bsl-1", "The Unlicense": "unlicense",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by", "Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License": "cc-by-nc-sa", "Creative Commons Attribution-NoDerivs License": "cc-by-nd",
+    "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International Public License": "cc-by-nc-nd", "under the terms of the Common Development and Distribution License": "cddl", "European Union Public Licence v. 1.2": "eupl", "Open Software License 3.0": "osl-3",
+    "Academic Free License v3.0": "afl-3", "Universal Permissive License": "upl", "Server Side Public License": "sspl", "Business Source License 1.1": "busl", "Open Data Commons Open Database License": "odbl", "Public Domain Dedication and License": "pddl",
+    "NCSA Open Source License": "ncsa", "MIT No Attribution License": "mit-0", "SIL Open Font License 1.1": "ofl", "Microsoft Public License": "ms-pl", "Python Software Foundation License": "python-2", "GNU GPL license": "gpl", "MIT license": "mit", "3-Clause BSD License": "bsd-3",
+    "a general public of mozilla readers and gnu herds": "", "eclipse of the public license office": "",
+}
+
+
+def test_full_names(spark):
+    rows = spark.createDataFrame([(k, f"and {k} so") for k in NOTICES], "doc_id string, text string")
+    assert {r.doc_id: r.labels for r in license_scan.license_scan(rows).collect()} == NOTICES
+    dead = [label for label, _, name, _ in license_scan.LICENSES if "public license" in license_scan.with_license(name) and license_scan.with_license(name).endswith("licen[cs]es?")]
+    assert dead == []
