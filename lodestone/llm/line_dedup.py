@@ -6,7 +6,7 @@ and i + depth, in order: distinct pairs are range-sorted and numbered. Suffixes
 whose prefix is unique leave after each round. The rounds end at the shortest
 run that counts: two suffixes of one rank share an interval of longest common
 prefix of at least that depth, a longer repeated run is a chain of such
-intervals, and overlapping ones are merged into maximal runs. All but the first
+intervals, and those that overlap or touch are merged into stretches. All but the first
 copy (by doc_id, then place) of a run are deleted. Where asked for, a long line
 is a run by itself, from the ranks of round 0.
 """
@@ -55,7 +55,7 @@ def repeated_places(lines: DataFrame, min_lines: int) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, long_lines: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with text cut to what stays, and n_lines, n_removed (lines that are not blank), n_runs (maximal deleted runs).
+    """docs with text cut to what stays, and n_lines, n_removed (lines that are not blank), n_runs (stretches of deleted lines).
 
     Lines end at \\n. Blank lines (white space only) belong to no run, do not part one and are kept. Of equal runs the one in
     the document of the smallest id stays (null ids last, then row order). Null texts stay null, with no lines; repeated
