@@ -1,9 +1,9 @@
 """Substring dedup by content-defined chunks.
 
 A gear rolling hash over the last 8 bytes places chunk ends, so an insertion
-moves only the chunks that touch it. Chunks are compared by digest over all
-documents; where consecutive chunks that occurred earlier span at least
-`min_bytes`, they are deleted. Hashes are computed for a whole text at once by
+moves only the chunks that touch it. Runs of consecutive chunks that just reach
+`min_bytes`, from each chunk on and back from each, are compared by digest over
+all documents; those that occurred earlier as a whole are deleted. Hashes are computed for a whole text at once by
 doubling the window.
 """
 
@@ -47,8 +47,18 @@ def chunk_ends(data: bytes, mean: int = MEAN, least: int = LEAST, most: int = MO
     return out
 
 
-def _chunks(rows: DataFrame) -> DataFrame:
-    """_row, _id and, of each chunk, the digest (d) and the place (at: start << 32 | length), from _row, _id, text."""
+def runs_of(ends: list[int], min_bytes: int) -> list[int]:
+    """Sorted places (start << 32 | length) of the shortest runs of chunks of at least min_bytes from each chunk on and back from each."""
+    e = np.array(ends, np.int64)
+    s = np.concatenate([[0], e[:-1]]) if ends else e
+    on, back = np.searchsorted(e, s + min_bytes), np.searchsorted(s, e - min_bytes, "right") - 1
+    there, reached = on < len(e), back >= 0
+    starts, stops = np.concatenate([s[there], s[back[reached]]]), np.concatenate([e[on[there]], e[reached]])
+    return np.unique(starts << 32 | (stops - starts)).tolist()
+
+
+def _runs(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """_row, _id and, of each of runs_of(), the digest (d) and the place (at), from _row, _id, text."""
 
     def run(batches):
         import pyarrow as pa
@@ -58,9 +68,9 @@ def _chunks(rows: DataFrame) -> DataFrame:
             out, places = [], []
             for t in b.column(2).to_pylist():
                 data = (t or "").encode(errors="replace")
-                ends = chunk_ends(data)
-                out.append([digest(data[a:e]) - (1 << 63) for a, e in zip([0, *ends], ends)])
-                places.append([a << 32 | (e - a) for a, e in zip([0, *ends], ends)])
+                at = runs_of(chunk_ends(data), min_bytes)
+                out.append([digest(data[(a := x >> 32) : a + (x & 0xFFFFFFFF)]) - (1 << 63) for x in at])
+                places.append(at)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, longs), pa.array(places, longs)], names=["_row", "_id", "d", "at"])
 
@@ -79,25 +89,27 @@ def trimmed(data: bytes, a: int, e: int) -> tuple[int, int]:
 def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, text (what is kept), n_bytes, dup_bytes, spans (deleted byte ranges of the text), dup_of (sorted ids that hold the first copies), is_dup.
 
-    The first copy of a chunk is that in the row of the smallest id (null ids last, then row order), at the smallest place;
-    later ones in the same text are deleted as well. Null texts stay null with 0 bytes; repeated rows are copies of each
-    other; a text that is all copies becomes ''. Two chunks of one 64-bit digest count as equal.
+    The first copy of a run is that in the row of the smallest id (null ids last, then row order), at the smallest place;
+    later ones in the same text are deleted as well. Runs that touch make one span: each byte of it lies in a run that
+    stands earlier as a whole. Null texts stay null with 0 bytes; repeated rows are copies of each
+    other; a text that is all copies becomes ''. Two runs of one 64-bit digest count as equal.
     """
     rows = with_row_key(docs.select(id_col, text_col)).select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    chunks = _chunks(rows)
-    often = chunks.select(F.explode("d").alias("d")).groupBy("d").count().where("count > 1").select("d")
-    # at: start and length of a chunk in one long, which also orders the chunks of a text.
-    pieces = chunks.select("_row", "_id", F.explode(F.arrays_zip("d", "at")).alias("z")).select("_row", "_id", F.col("z.d").alias("d"), F.col("z.at").alias("at"))
+    found = _runs(rows, min_bytes)
+    often = found.select(F.explode("d").alias("d")).groupBy("d").count().where("count > 1").select("d")
+    # at: start and length of a run in one long, which also orders the runs of a text.
+    pieces = found.select("_row", "_id", F.explode(F.arrays_zip("d", "at")).alias("z")).select("_row", "_id", F.col("z.d").alias("d"), F.col("z.at").alias("at"))
     placed = cut_table(pieces.join(often, "d"))
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "at")
     first = cut_table(placed.groupBy("d").agg(F.min(place).alias("first")))
     start = F.shiftright("at", 32)
     later = placed.join(first, "d").where(place != F.col("first")).select("_row", start.alias("start"), (start + F.col("at").bitwiseAND(0xFFFFFFFF)).alias("end"), F.col("first._id").alias("of"))
-    by_place = W.partitionBy("_row").orderBy("start")
-    later = later.withColumn("new", F.coalesce(F.col("start") != F.lag("end").over(by_place), F.lit(True)).cast("long"))
+    by_place = W.partitionBy("_row").orderBy("start", "end")
+    # A run that begins later never ends earlier.
+    later = later.withColumn("new", F.coalesce(F.col("start") > F.lag("end").over(by_place), F.lit(True)).cast("long"))
     runs = later.withColumn("run", F.sum("new").over(by_place)).groupBy("_row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.collect_set("of").alias("of"))
-    runs = runs.where(F.col("end") - F.col("start") >= min_bytes).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("of")))).alias("of"))
+    runs = runs.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("of")))).alias("of"))
 
     def run(batches):
         import pyarrow as pa

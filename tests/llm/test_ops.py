@@ -346,3 +346,26 @@ def test_full_names(spark):
     assert {r.doc_id: r.labels for r in license_scan.license_scan(rows).collect()} == NOTICES
     dead = [label for label, _, name, _ in license_scan.LICENSES if "public license" in license_scan.with_license(name) and license_scan.with_license(name).endswith("licen[cs]es?")]
     assert dead == []
+
+
+def test_runs_stand_earlier_as_a_whole(spark):
+    rnd = random.Random(4)
+    for _ in range(500):
+        data = prose(rnd, 400).replace("ß", "s").encode()
+        ends = substring_dedup.chunk_ends(data)
+        cut = [data[a:e] for a, e in zip([0, *ends], ends)]
+        k = next((k for k in range(1, len(cut) - 8) if all(12 <= len(x) <= 44 for x in cut[k : k + 8])), None)
+        parts = cut[k : k + 8] if k else []
+        pairs = [a + b for a, b in zip(parts, parts[1:])]
+        if k and all(substring_dedup.chunk_ends(p) == [len(a), len(p)] for a, p in zip(parts, pairs)):
+            break
+    run = b"".join(parts).decode()
+    rows = [(i, p.decode()) for i, p in enumerate(pairs)] + [(50, run), (60, run), (70, prose(rnd, 50) + run + run[:60] + prose(rnd, 50))]
+    out = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, r in out.items() if r.is_dup} == {60, 70}  # of 50 each chunk, but no run of 96 bytes stands earlier
+    assert out[60].text == "" and out[60].dup_of == out[70].dup_of == [50] and 96 <= out[70].dup_bytes <= len(run)
+    for _ in range(200):  # a repeated stretch of chunks is covered from its first to its last end
+        ends = substring_dedup.chunk_ends(prose(rnd, rnd.randint(1, 60)).encode())
+        places = [(x >> 32, (x >> 32) + (x & 0xFFFFFFFF)) for x in substring_dedup.runs_of(ends, 96)]
+        assert all(e - a >= 96 for a, e in places) and [e for _, e in places] == sorted(e for _, e in places)
+        assert ends[-1] < 96 or (places[0][0] == 0 and places[-1][1] == ends[-1] and all(b[0] <= a[1] for a, b in zip(places, places[1:])))
