@@ -14,8 +14,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A word in text whose A-Z are as written.
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Largest number of rows that is joined by broadcast once it has been counted.
-BROADCAST_ROWS = 500_000
+#: Largest measured size of a table that is joined by broadcast.
+BROADCAST_BYTES = 32 << 20
+#: A key is hot if more than this share of all rows have it (so there are at most 1 / SHARE hot keys), and HOT_ROWS at least.
+HOT_SHARE, HOT_ROWS, SALTS = 1e-4, 20_000, 64
 
 
 def ascii_lower(c: Column) -> Column:
@@ -28,11 +30,25 @@ def words(c: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(c, F.lit(""))), SEPARATORS), "")
 
 
+def anchored(df: DataFrame) -> DataFrame:
+    """df, written out first unless it is a scan or a checkpoint, at most projected and filtered: places in anything else can
+    change when a task is run again or a plan is used twice."""
+    plain = {"LogicalRelation", "LogicalRDD", "LocalRelation", "Range", "Project", "Filter", "SubqueryAlias", "View", "Union", "DataSourceV2Relation"}
+    nodes = [df._jdf.queryExecution().analyzed()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().split(" ")[0] not in plain and not node.nodeName().startswith("Relation"):
+            return cut_table(df)
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return df
+
+
 def with_row_key(df: DataFrame, name: str = "_row") -> DataFrame:
     """Adds a long that is unique to each row, whatever doc_id holds.
 
-    It follows from the place in the scanned files, so a task that is run again
-    gives the same keys. Callers hand in a scan or a checkpoint, not a shuffle.
+    It follows from the place in the scanned files, so a task that is run again gives the same keys. Callers hand in what
+    anchored() gives.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
@@ -50,38 +66,97 @@ def unpacked(out: DataFrame, docs: DataFrame, added: dict[str, Column], changed:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of spark.checkpoint.dir (a temporary one where unset, as in tests)."""
+    """Reliable checkpoint in the shared folder; removed with the folder when the driver ends."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder of spark.checkpoint.dir, which all executors share; a temporary one where unset, as in tests."""
+    """This application's folder in spark.checkpoint.dir, which all executors share.
+
+    Unset, a temporary folder serves in local mode, as in tests; on a cluster that is an error. The folder goes when the
+    driver ends; what a killed driver leaves lies in it alone.
+    """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return context._jsc.sc().getCheckpointDir().get()
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if not where and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+        context.setCheckpointDir(where or tempfile.mkdtemp(prefix="checkpoints-"))
+    path = context._jsc.sc().getCheckpointDir().get()
+    if path not in _folders:
+        _folders.add(path)
+        atexit.register(removed, spark, path)
+    return path
+
+
+_folders: set[str] = set()
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system, if the session still runs."""
+    context = spark.sparkContext
+    if context._jsc is not None:
+        there = context._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(context._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def cut_table(df: DataFrame) -> DataFrame:
-    """Like cut(), for larger tables: written compressed as Parquet to the shared folder, and removed when the driver ends."""
+    """Like cut(), for larger tables: written compressed as Parquet to the shared folder and read again."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    def remove(context=spark.sparkContext):
-        if context._jsc is not None:
-            there = context._jvm.org.apache.hadoop.fs.Path(path)
-            there.getFileSystem(context._jsc.hadoopConfiguration()).delete(there, True)
 
-    atexit.register(remove)
-    return spark.read.schema(df.schema).parquet(path)
+def dropped(table: DataFrame) -> None:
+    """Deletes the files of a table that cut_table() wrote, once nothing reads it any more."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        removed(table.sparkSession, path)
 
 
-def joined_small(big: DataFrame, small: DataFrame, on, how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
-    """Join that broadcasts `small` (a checkpointed table) only if it has at most `most` rows, else shuffles."""
-    few = small.limit(most + 1).count() <= most
-    return big.join(F.broadcast(small) if few else small, on, how)
+def size_of(df: DataFrame) -> Column:
+    """About how many bytes a row takes in a broadcast table: strings and arrays by their length."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            n = F.octet_length(c)
+        elif kind == "array<string>":
+            n = F.octet_length(F.array_join(c, "")) + 16 * F.size(c)
+        elif kind.startswith(("array", "map")):
+            n = 16 * F.size(c)
+        else:
+            n = F.lit(0)
+        total = total + 16 + F.greatest(F.coalesce(n, F.lit(0)), F.lit(0))
+    return total.cast("long")
+
+
+def small_enough(small: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a written table measures at most `most` bytes."""
+    return (small.agg(F.sum(size_of(small))).head()[0] or 0) <= most
+
+
+def joined_small(big: DataFrame, small: DataFrame, on, how: str = "inner", most: int = BROADCAST_BYTES) -> DataFrame:
+    """Join that broadcasts `small` (a written table) only if it measures at most `most` bytes, else shuffles."""
+    return big.join(F.broadcast(small) if small_enough(small, most) else small, on, how)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """The keys of a table of counts that more than HOT_SHARE of the rows have (at most 1 / HOT_SHARE keys), with _hot."""
+    total = counts.agg(F.sum(n)).head()[0] or 0
+    return cut(counts.where(F.col(n) > max(HOT_ROWS, int(total * HOT_SHARE))).select(*keys, F.lit(True).alias("_hot")))
+
+
+def joined_salted(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, salt: Column, how: str = "inner") -> DataFrame:
+    """Join by keys in which the rows of hot keys are spread over SALTS tasks, by `salt` (a long that differs between rows).
+
+    hot: hot_keys(), whose size has a fixed bound; small: at most one row a key.
+    """
+    marked = big.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt, F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop("_hot")
+    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    other = small.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(spread)).drop("_hot")
+    return marked.join(other, [*keys, "_salt"], how).drop("_salt")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
