@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import cut, packed, table
-from lodestone.llm.decontaminate import decontaminated
+from lodestone.llm.common import cut_table, dropped, packed, table
+from lodestone.llm.decontaminate import without_benchmark
 from lodestone.llm.line_dedup import line_dedup
 from lodestone.llm.mixing import by_position, mixed
 from lodestone.llm.ngram_jaccard import without_near_duplicates
@@ -32,7 +32,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    return decontaminated(docs, table(spark, sf_dir, "benchmark")).where(F.size("hits") == 0).select(docs.columns)
+    return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +55,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents. What a stage keeps is written before the next one reads it."""
-    docs = table(spark, sf_dir, "documents")
+    """Applies the stages to documents. What a stage keeps is written as Parquet before the next one reads it, and deleted
+    once the next one's output stands.
+
+    Nulls, empty texts, repeated rows and columns of any name are taken as the operators take them; a null text passes all
+    stages but the classifier by its score; empty documents give no rows.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            docs = cut(docs)
+            out = cut_table(out)
+            if before is not None:
+                dropped(before)
+            before = out
+        docs = out
     return docs
