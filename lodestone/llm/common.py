@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -102,11 +102,19 @@ def removed(spark: SparkSession, path: str) -> None:
 
 
 def cut_table(df: DataFrame) -> DataFrame:
-    """Like cut(), for larger tables: written compressed as Parquet to the shared folder and read again."""
-    spark = df.sparkSession
+    """Like cut(), for larger tables: written compressed as Parquet to the shared folder and read again. Rows and bytes are counted while it is written."""
+    spark, seen = df.sparkSession, Observation()
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(size_of(df)).alias("bytes")).write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_seen"] = seen.get
+    return out
+
+
+def rows_of(table: DataFrame) -> int:
+    """Rows of a table that cut_table() wrote."""
+    seen = table.__dict__.get("_seen", {}).get("rows")
+    return table.count() if seen is None else seen
 
 
 def dropped(table: DataFrame) -> None:
@@ -134,6 +142,9 @@ def size_of(df: DataFrame) -> Column:
 
 def small_enough(small: DataFrame, most: int = BROADCAST_BYTES) -> bool:
     """Whether a written table measures at most `most` bytes."""
+    seen = small.__dict__.get("_seen", {})
+    if "rows" in seen:
+        return (seen.get("bytes") or 0) <= most
     return (small.agg(F.sum(size_of(small))).head()[0] or 0) <= most
 
 
