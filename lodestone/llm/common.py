@@ -153,20 +153,24 @@ def joined_small(big: DataFrame, small: DataFrame, on, how: str = "inner", most:
     return big.join(F.broadcast(small) if small_enough(small, most) else small, on, how)
 
 
-def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
-    """The keys of a table of counts that more than HOT_SHARE of the rows have (at most 1 / HOT_SHARE keys), with _hot."""
-    total = counts.agg(F.sum(n)).head()[0] or 0
-    return cut(counts.where(F.col(n) > max(HOT_ROWS, int(total * HOT_SHARE))).select(*keys, F.lit(True).alias("_hot")))
+def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame | None:
+    """The keys of a table of counts that more than HOT_SHARE of the rows have (at most 1 / HOT_SHARE keys), with _hot; None without any."""
+    seen = counts.agg(F.sum(n).alias("all"), F.max(n).alias("most")).head()
+    least = max(HOT_ROWS, int((seen["all"] or 0) * HOT_SHARE))
+    return cut(counts.where(F.col(n) > least).select(*keys, F.lit(True).alias("_hot"))) if (seen["most"] or 0) > least else None
 
 
-def joined_salted(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, salt: Column, how: str = "inner") -> DataFrame:
+def joined_salted(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame | None, salt: Column, how: str = "inner") -> DataFrame:
     """Join by keys in which the rows of hot keys are spread over SALTS tasks, by `salt` (a long that differs between rows).
 
-    hot: hot_keys(), whose size has a fixed bound; small: at most one row a key.
+    hot: hot_keys() of some or all of the keys, whose size has a fixed bound; small: few rows a key.
     """
-    marked = big.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt, F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop("_hot")
+    if hot is None:
+        return big.join(small, keys, how)
+    of = [c for c in hot.columns if c != "_hot"]
+    marked = big.join(F.broadcast(hot), of, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt, F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop("_hot")
     spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    other = small.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(spread)).drop("_hot")
+    other = small.join(F.broadcast(hot), of, "left").withColumn("_salt", F.explode(spread)).drop("_hot")
     return marked.join(other, [*keys, "_salt"], how).drop("_salt")
 
 

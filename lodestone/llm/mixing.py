@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import cut, table, with_row_key
+from lodestone.llm.common import anchored, cut, cut_table, joined_small, table, with_row_key
 
 WEIGHTS = (5, 2, 1)
 #: Slopes of the rate over time, for sources in order, repeating.
@@ -51,28 +51,27 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, slopes=SLOPES, repeats: in
 def mixed(docs: DataFrame, weights=WEIGHTS, slopes=SLOPES, repeats: int = MOST_REPEATS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """_row, id, size, source_size, target, taken and positions (training position of each copy taken, in [0, 1]).
 
-    One row for each row of docs. Null texts and texts of white space have size 0 and are never taken; a null source is a
-    source of its own, last; null ids and repeated rows are kept. Which rows of equal id and size are taken is arbitrary.
+    One row for each row of docs. Null and empty texts and texts of white space have size 0 and are never taken; a null
+    source is a source of its own, last; null ids and repeated rows are kept. Which rows of equal id and size are taken is
+    arbitrary. Texts count whole, however long; other columns are not read. An empty table gives no rows.
     """
-    keyed = with_row_key(docs)
+    keyed = with_row_key(anchored(docs))
     size = F.size(F.array_remove(F.split(F.coalesce(F.col(text_col), F.lit("")), WHITE), "")).cast("long")
     h = F.md5(F.concat_ws(":", F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.col("size").cast("string")))
     rows = (
         keyed.select("_row", F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size.alias("size"))
-        .withColumn("_source", F.when(F.col("source").isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), "source")))
-        .withColumn("h", h).withColumn("b1", F.substring("h", 1, 2)).withColumn("b2", F.substring("h", 3, 2))
+        .withColumn("_source", F.when(F.col("source").isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), "source"))).withColumn("h", h)
     )
-    rows = cut(rows)
-    # Running totals over a tree of at most 256 branches a level: no window holds all of a source.
-    low = cut(rows.groupBy("_source", "source", "b1", "b2").agg(F.sum("size").alias("s")))
-    mid = cut(low.groupBy("_source", "source", "b1").agg(F.sum("s").alias("s")))
-    targets = source_targets(mid.groupBy("_source", "source").agg(F.sum("s").alias("source_size")), weights, slopes, repeats)
-    prior = lambda w: F.coalesce(F.sum("s").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    mid = mid.select("_source", "b1", prior(W.partitionBy("_source").orderBy("b1")).alias("o1"))
-    low = low.select("_source", "b1", "b2", prior(W.partitionBy("_source", "b1").orderBy("b2")).alias("o2"))
-    offsets = cut(low.join(mid, ["_source", "b1"]).join(targets, "_source").select("_source", "b1", "b2", (F.col("o1") + F.col("o2")).alias("offset"), "source_size", "target", "slope"))
-    inside = W.partitionBy("_source", "b1", "b2").orderBy("h", "_id", "size", "_row").rowsBetween(W.unboundedPreceding, -1)
-    placed = rows.join(offsets, ["_source", "b1", "b2"]).withColumn("c", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    rows = cut_table(rows)
+    # Running totals of range-sorted parts: neither a source nor rows of equal id and size stand in one task.
+    order = ["h", "_id", "size", "_row"]
+    rows = cut_table(rows.repartitionByRange("_source", *order).withColumn("_part", F.spark_partition_id()))
+    sums = cut(rows.groupBy("_source", "source", "_part").agg(F.sum("size").alias("s")))
+    targets = source_targets(sums.groupBy("_source", "source").agg(F.sum("s").alias("source_size")), weights, slopes, repeats)
+    prior = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("_source", "_part", prior("s", W.partitionBy("_source").orderBy("_part")).alias("offset"))
+    offsets = cut_table(sums.join(targets, "_source").select("_source", "_part", "offset", "source_size", "target", "slope"))
+    placed = joined_small(rows, offsets, ["_source", "_part"]).withColumn("c", F.col("offset") + prior("size", W.partitionBy("_source", "_part").orderBy(*order)))
     goal = F.floor("target").cast("long")
     rounds = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     part = F.least(F.greatest(goal - F.col("rounds") * F.col("source_size") - F.col("c"), F.lit(0)), F.col("size"))
@@ -93,9 +92,18 @@ def by_position(df: DataFrame) -> DataFrame:
     return df.withColumn("_at", first).repartitionByRange("_at", "_row").sortWithinPartitions("_at", "_row").drop("_at")
 
 
+def in_order(mix: DataFrame) -> DataFrame:
+    """The training order: a row for each copy taken (its columns, copy from 0, position, and words: how many of it are taken), range-sorted by position."""
+    whole = F.col("size") - F.greatest((F.col("copy") + 1) * F.col("size") - F.col("taken"), F.lit(0))
+    out = mix.select("*", F.posexplode("positions").alias("copy", "position")).withColumn("words", whole).drop("positions")
+    return out.repartitionByRange("position", "_row", "copy").sortWithinPartitions("position", "_row", "copy")
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = by_position(mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
-    return out.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position"))
+    # Positions of all copies, as parts of a million millions.
+    all_ = F.array_join(F.transform("positions", lambda p: F.floor(p * F.lit(1e12)).cast("string")), ",")
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position"), all_.alias("positions"))
 
 
 OP9_SQL = r"""
@@ -110,6 +118,7 @@ t AS (SELECT source, source_size, g, coalesce(least(cap::DOUBLE, lvl * weight),
 c AS (SELECT hd.doc_id, size, source_size, target, g, coalesce(CAST(sum(size) OVER (PARTITION BY hd.source ORDER BY h, hd.doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS c FROM hd JOIN t ON hd.source IS NOT DISTINCT FROM t.source),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(floor(target) / source_size) AS BIGINT) ELSE 0 END AS rounds FROM c),
 k AS (SELECT *, rounds * size + least(greatest(CAST(floor(target) AS BIGINT) - rounds * source_size - c, 0), size) AS taken FROM q),
-u AS (SELECT *, least(c / target, 1.0) AS u FROM k)
-SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN CASE WHEN g = 0 THEN u ELSE abs((sqrt((1 - g) * (1 - g) + 4 * g * u) - (1 - g)) / (2 * g)) END END AS position FROM u
+u AS (SELECT *, list_transform(range(0, rounds + CASE WHEN taken > rounds * size THEN 1 ELSE 0 END), lambda n: least((n * source_size + c) / target, 1.0)) AS us FROM k),
+p AS (SELECT *, CASE WHEN taken > 0 THEN list_transform(us, lambda u: CASE WHEN g = 0 THEN u ELSE abs((sqrt((1 - g) * (1 - g) + 4 * g * u) - (1 - g)) / (2 * g)) END) ELSE [] END AS ps FROM u)
+SELECT doc_id, size, source_size, target, taken, ps[1] AS position, array_to_string(list_transform(ps, lambda x: CAST(CAST(floor(x * 1e12) AS BIGINT) AS VARCHAR)), ',') AS positions FROM p
 """

@@ -100,28 +100,33 @@ def _measured(texts: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([[float(v) for v in statistics(t)] for t in b.column(1).to_pylist()], pa.list_(pa.float64()))], names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([[float(v) for v in statistics(t)] for t in b.column(1).to_pylist()], pa.list_(pa.float64())), b.column(2)], names=["y", "x", "h"])
 
-    return texts.mapInArrow(run, "y int, x array<double>")
+    return texts.mapInArrow(run, "y int, x array<double>, h long")
 
 
 def fitted(docs: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Boosted:
     """Trees fitted on at most `sample` labelled rows, of those for which `trains` (a condition on the id) holds.
 
-    Rows with a null id or label are left out; an id that is labelled twice counts with its largest label. Without
-    labelled rows, or with one label alone, every text gets the same score.
+    Rows with a null id or label are left out; an id that is labelled twice counts with its largest label; all rows of an
+    id count, within the bound (those of the least hash of id and statistics). Without labelled rows, or with one label
+    alone, every text gets the same score.
     """
     of = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & trains).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("y"))
     chosen = cut(of.orderBy(F.xxhash64("_id"), "_id").limit(sample))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id").select("y", "text")
-    rows = _measured(texts).toPandas()
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id").select("y", "text", F.xxhash64("_id").alias("h"))
+    rows = _measured(texts).orderBy("h", F.xxhash64("x")).limit(sample).select("y", "x").toPandas()
     x = np.stack(rows["x"].to_list()) if len(rows) else np.empty((0, len(FEATURES)))
     order = np.lexsort((*x.T, rows["y"].to_numpy()))  # the model doesn't depend on the order of rows
     return Boosted(x[order], rows["y"].to_numpy(float)[order])
 
 
 def quality(docs: DataFrame, model: Boosted, text_col: str = "text", cutoff: float = 0.5) -> DataFrame:
-    """The columns of docs, and score and predicted (1 if score >= cutoff). Each row is judged alone; extra columns pass."""
+    """The columns of docs, and score and predicted (1 if score >= cutoff).
+
+    Each row is judged alone, repeated ones alike, whole texts however long; null counts as an empty text, which has all
+    statistics 0 and gets a score as well. Extra columns pass, those with the name of an added one are replaced by it.
+    """
 
     def run(batches):
         import pyarrow as pa

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import cut_table, table, with_row_key
+from lodestone.llm.common import anchored, cut_table, hot_keys, joined_salted, table, with_row_key
 
 #: Mean distance of places where a chunk may end, least and greatest bytes of a chunk, least bytes of a deleted run.
 MEAN, LEAST, MOST, MIN_BYTES = 24, 4, 256, 96
@@ -58,23 +58,26 @@ def runs_of(ends: list[int], min_bytes: int) -> list[int]:
 
 
 def _runs(rows: DataFrame, min_bytes: int) -> DataFrame:
-    """_row, _id and, of each of runs_of(), the digest (d) and the place (at), from _row, _id, text."""
+    """_row, _id and, of each of runs_of(), the digest (128 bits: d and e) and the place (at), from _row, _id, text."""
 
     def run(batches):
         import pyarrow as pa
-        from xxhash import xxh3_64_intdigest as digest
+        from xxhash import xxh3_128_intdigest as digest
 
+        half, low = 1 << 63, (1 << 64) - 1
         for b in batches:
-            out, places = [], []
+            high, rest, places = [], [], []
             for t in b.column(2).to_pylist():
                 data = (t or "").encode(errors="replace")
                 at = runs_of(chunk_ends(data), min_bytes)
-                out.append([digest(data[(a := x >> 32) : a + (x & 0xFFFFFFFF)]) - (1 << 63) for x in at])
+                found = [digest(data[(a := x >> 32) : a + (x & 0xFFFFFFFF)]) for x in at]
+                high.append([(x >> 64) - half for x in found])
+                rest.append([(x & low) - half for x in found])
                 places.append(at)
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, longs), pa.array(places, longs)], names=["_row", "_id", "d", "at"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, longs) for x in (high, rest, places))], names=["_row", "_id", "d", "e", "at"])
 
-    return rows.mapInArrow(run, f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, d array<long>, at array<long>")
+    return rows.mapInArrow(run, f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, d array<long>, e array<long>, at array<long>")
 
 
 def trimmed(data: bytes, a: int, e: int) -> tuple[int, int]:
@@ -92,19 +95,22 @@ def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "
     The first copy of a run is that in the row of the smallest id (null ids last, then row order), at the smallest place;
     later ones in the same text are deleted as well. Runs that touch make one span: each byte of it lies in a run that
     stands earlier as a whole. Null texts stay null with 0 bytes; repeated rows are copies of each
-    other; a text that is all copies becomes ''. Two runs of one 64-bit digest count as equal.
+    other; a text that is all copies becomes ''; empty texts have no runs. Texts are taken whole, up to 4 GiB; columns
+    other than these two are not read. Two runs of one 128-bit digest count as equal.
     """
-    rows = with_row_key(docs.select(id_col, text_col)).select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    rows = with_row_key(anchored(docs).select(id_col, text_col)).select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     kind = rows.schema["_id"].dataType.simpleString()
     found = _runs(rows, min_bytes)
-    often = found.select(F.explode("d").alias("d")).groupBy("d").count().where("count > 1").select("d")
+    # Half of the digest finds runs that may repeat; only those are written, with the whole digest.
+    often = cut_table(found.select(F.explode("d").alias("d")).groupBy("d").agg(F.count("*").alias("n")).where("n > 1"))
+    hot, salt = hot_keys(often, ["d"]), F.xxhash64("_row", "at")
     # at: start and length of a run in one long, which also orders the runs of a text.
-    pieces = found.select("_row", "_id", F.explode(F.arrays_zip("d", "at")).alias("z")).select("_row", "_id", F.col("z.d").alias("d"), F.col("z.at").alias("at"))
-    placed = cut_table(pieces.join(often, "d"))
+    pieces = found.select("_row", "_id", F.explode(F.arrays_zip("d", "e", "at")).alias("z")).select("_row", "_id", "z.d", "z.e", "z.at")
+    placed = cut_table(joined_salted(pieces, often.select("d"), ["d"], hot, salt))
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "at")
-    first = cut_table(placed.groupBy("d").agg(F.min(place).alias("first")))
+    first = cut_table(placed.groupBy("d", "e").agg(F.min(place).alias("first")))
     start = F.shiftright("at", 32)
-    later = placed.join(first, "d").where(place != F.col("first")).select("_row", start.alias("start"), (start + F.col("at").bitwiseAND(0xFFFFFFFF)).alias("end"), F.col("first._id").alias("of"))
+    later = joined_salted(placed, first, ["d", "e"], hot, salt).where(place != F.col("first")).select("_row", start.alias("start"), (start + F.col("at").bitwiseAND(0xFFFFFFFF)).alias("end"), F.col("first._id").alias("of"))
     by_place = W.partitionBy("_row").orderBy("start", "end")
     # A run that begins later never ends earlier.
     later = later.withColumn("new", F.coalesce(F.col("start") > F.lag("end").over(by_place), F.lit(True)).cast("long"))
