@@ -104,10 +104,10 @@ SENTENCES = (
     ("unlicense", "unlicense", "for more information please refer to (?:https? )?unlicense org", "unlicense org"),
     ("wtfpl", "want", "do what the fuck you want to public license", "want to public license"),
     ("artistic-2", "artistic", "this package is free software you may redistribute it and or modify it under the (?:terms of the )?artistic license 2 0", "artistic license"),
-    ("ofl", "ofl", "this font software is licensed under the sil open font license version 1 1", "font software"),
-    ("ofl", "font", "this license is also available with a faq at (?:https? )?(?:scripts sil org|openfontlicense org)", "with a faq at"),
+    ("ofl", "sil", "this font software is licensed under the sil open font license version 1 1", "font software"),
+    ("ofl", "faq", "this license is also available with a faq at (?:https? )?(?:scripts sil org|openfontlicense org)", "with a faq at"),
     ("odbl", "odbl", "made available under the open database license (?:https? )?opendatacommons org licenses odbl 1 0", "opendatacommons org"),
-    ("pddl", "pddl", "made available under the public domain dedication and license(?: version)? v?1 0", "public domain dedication"),
+    ("pddl", "dedication", "made available under the public domain dedication and license(?: version)? v?1 0", "public domain dedication"),
     ("python-2", "python", "python software foundation license version 2", "foundation license"),
     ("postgresql", "postgresql", "this software is released under the postgresql licen[cs]e", "postgresql"),
     ("openssl", "openssl", "this product includes software developed by the openssl project for use in the openssl toolkit", "openssl toolkit"),
