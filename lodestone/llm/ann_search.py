@@ -3,10 +3,12 @@
 Vectors are assigned to coarse centroids; what is left of each is quantised by
 parts. A query visits the lists of its best centroids, scores their codes by
 asymmetric distance tables, and reranks the best exactly on the original
-vectors. The index is dealt into blocks of bounded size, each of which holds a
-part of every list, so that no list is too large; the query set meets it block
-against block. Equal vectors are one entry of the index with the smallest
-ids that any query can need, which loses nothing.
+vectors. How many lists are visited is measured: a few queries are answered
+exactly, and as many lists are taken as hold the wanted share of their true
+neighbours. Neighbouring lists form shards, a large one is split; codes are
+shuffled once to their shard, and a query goes to the shards that hold a list
+which it visits. Equal vectors are one entry of the index with the smallest ids
+that any query can need, which loses nothing.
 """
 
 from __future__ import annotations
@@ -18,15 +20,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import cut, table
+from lodestone.llm.common import cut, cut_table, table
 
 #: Vectors that centroids and codebooks are fitted on; every vector is indexed.
 SAMPLE = 20_000
 MOST_LISTS, CODES, PART = 65_536, 256, 4
-#: Lists visited: this share of all, at least LEAST_PROBES. Entries of an index block that are reranked exactly, for each query.
-PROBES, LEAST_PROBES, RERANK = 0.75, 16, 256
-#: Entries of the index and queries that meet in one task, about.
-INDEX_BLOCK, QUERY_BLOCK = 8192, 1024
+#: Share of the true neighbours that the visited lists are to hold, queries on which that is measured, least lists visited.
+#: Entries of a shard that are reranked exactly, for each query.
+TARGET, MEASURED, LEAST_PROBES, RERANK = 0.965, 64, 16, 256
+#: Entries of a shard, and queries that meet it at once, about; queries that are scored at once.
+SHARD, QUERY_BLOCK, SCORED = 8192, 16_384, 256
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -56,13 +59,26 @@ class Index:
         left = sample - self.centers[assigned(sample, self.centers)]
         self.parts = [slice(i, min(i + PART, sample.shape[1])) for i in range(0, sample.shape[1], PART)]
         self.books = [kmeans(left[:, p], CODES) for p in self.parts]
-        self.probes = min(len(self.centers), max(LEAST_PROBES, math.ceil(PROBES * len(self.centers))))
+        self.probes = len(self.centers)
 
     def encoded(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cells = assigned(x, self.centers)
         left = x - self.centers[cells]
         return cells, np.stack([assigned(left[:, p], b).astype(np.uint8) for p, b in zip(self.parts, self.books)], 1)
 
+    def measured(self, q: np.ndarray, cells: list[np.ndarray]) -> None:
+        """Sets probes from queries and the lists of their true neighbours."""
+        ranks = [np.argsort(np.argsort(-(self.centers @ v)))[c] for v, c in zip(q, cells)]
+        ranks = np.sort(np.concatenate(ranks)) if ranks else np.array([])
+        need = int(ranks[min(len(ranks) - 1, math.ceil(TARGET * len(ranks)))]) + 1 if len(ranks) else len(self.centers)
+        self.probes = min(len(self.centers), max(LEAST_PROBES, need))
+
+    def sharded(self, sizes: np.ndarray) -> None:
+        """Groups neighbouring lists; parts[g] is the number of shards of group g."""
+        groups = max(1, min(len(self.centers), -(-int(sizes.sum()) // SHARD)))
+        self.group = assigned(self.centers, kmeans(self.centers, groups))
+        self.parts_of = np.maximum(1, -(-np.bincount(self.group, sizes, groups).astype(np.int64) // SHARD))
+
     def probed(self, q: np.ndarray) -> np.ndarray:
         scores = q @ self.centers.T
         return np.argpartition(-scores, self.probes - 1, axis=1)[:, : self.probes]
@@ -86,9 +102,10 @@ def _matrix(column, dim: int) -> np.ndarray:
 def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each query its k nearest others by inner product, ties to the smaller id.
 
-    is_query: a condition on the id column. Vectors that are null, zero, of another length than the most common one, or
-    hold null or non-finite components take no part, nor do null ids. A row given twice counts once. Without vectors the
-    result is empty.
+    is_query: a condition on the id column. Vectors that are null, zero, of another length than the most common one (they
+    have no inner product with those), or hold null or non-finite components take no part, nor do null ids. A row given
+    twice counts once; an id that has two vectors is two entries, and as a query it has a ranking for each. Other columns
+    are not read. Without vectors the result is empty.
     """
     spark = vectors.sparkSession
     x = F.col("v")
@@ -106,58 +123,104 @@ def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
     entries = cut(few.groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids")).select(F.monotonically_increasing_id().alias("num"), "v", "ids"))
     asked = cut(all_.where("q").select("id", "v").distinct().join(entries.select("v", "num"), "v").select(F.col("id").alias("query_id"), "num"))
     sample = entries.orderBy(F.xxhash64("v"), "num").limit(SAMPLE).select("v").toPandas()["v"]
-    index = spark.sparkContext.broadcast(Index(np.stack(sample.to_list()).astype(np.float64), min(MOST_LISTS, max(1, math.isqrt(entries.count())))))
-
-    blocks, asking = max(1, -(-entries.count() // INDEX_BLOCK)), max(1, -(-asked.select("num").distinct().count() // QUERY_BLOCK))
+    index = Index(np.stack(sample.to_list()).astype(np.float64), min(MOST_LISTS, max(1, math.isqrt(entries.count()))))
+    shared = spark.sparkContext.broadcast(index)
 
     def coded(batches):
         import pyarrow as pa
 
         for b in batches:
-            if not b.num_rows:
-                continue
-            block, num, first, v = (*(b.column(i).to_numpy() for i in range(3)), _matrix(b.column(3), dim))
-            cells, codes = index.value.encoded(v)
-            rows = [np.flatnonzero(block == s) for s in np.unique(block)]
-            yield pa.RecordBatch.from_arrays([pa.array([block[at[0]] for at in rows], pa.int64()), *(pa.array([a[at].tobytes() for at in rows], pa.binary()) for a in (num, first, cells, codes, v))], names=["block", "num", "first", "cells", "codes", "v"])
+            if b.num_rows:
+                v = _matrix(b.column(2), dim)
+                cells, codes = shared.value.encoded(v)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cells.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array([x.tobytes() for x in v], pa.binary())], names=["num", "first", "cell", "codes", "v"])
+
+    lists = cut_table(entries.select("num", F.col("ids")[0].alias("first"), "v").mapInArrow(coded, "num long, first long, cell int, codes binary, v binary"))
+    # A few queries against all entries; each task hands on its best.
+    few = asked.select("num").distinct().orderBy(F.xxhash64("num"), "num").limit(MEASURED).join(entries.select("num", "v"), "num").toPandas()
+    some = np.stack(few["v"].to_list()).astype(np.float64) if len(few) else np.empty((0, dim))
+    own = few["num"].to_numpy(np.int64)
+
+    def nearest(batches):
+        import pyarrow as pa
+
+        best = [(np.empty(0), np.empty(0, np.int64)) for _ in own]
+        for b in batches:
+            num, cell, v = b.column(0).to_numpy(), b.column(1).to_numpy(), np.frombuffer(b"".join(b.column(2).to_pylist())).reshape(-1, dim)
+            scores = some @ v.T
+            scores[own[:, None] == num[None, :]] = -np.inf
+            for i, (s, c) in enumerate(best):
+                s, c = np.concatenate([s, scores[i]]), np.concatenate([c, cell])
+                top = np.argsort(-s)[:k]
+                best[i] = s[top], c[top]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(own)), pa.int32()), pa.array([s for s, _ in best], pa.list_(pa.float64())), pa.array([c for _, c in best], pa.list_(pa.int64()))], names=["i", "s", "c"])
+
+    if len(own):
+        true = lists.select("num", "cell", "v").mapInArrow(nearest, "i int, s array<double>, c array<long>").select("i", F.inline(F.arrays_zip("s", "c")))
+        true = true.where(F.col("s") > float("-inf")).groupBy("i").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "c")), asc=False), 1, k).alias("a")).collect()
+        true = {r.i: np.array([x.c for x in r.a]) for r in true}
+        index.measured(some[sorted(true)], [true[i] for i in sorted(true)])
+    sizes = np.zeros(len(index.centers))
+    for r in lists.groupBy("cell").count().collect():  # at most MOST_LISTS rows
+        sizes[r["cell"]] = r["count"]
+    index.sharded(sizes)
+    shared = spark.sparkContext.broadcast(index)
+
+    def sent(batches):
+        """The groups of lists that each query visits."""
+        import pyarrow as pa
+
+        for b in batches:
+            if b.num_rows:
+                q = _matrix(b.column(1), dim)
+                to = [np.unique(shared.value.group[p]) for i in range(0, len(q), SCORED) for p in shared.value.probed(q[i : i + SCORED])]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in q], pa.binary()), pa.array(to, pa.list_(pa.int64()))], names=["num", "v", "groups"])
 
     def searched(_, lists, queries):
-        """The nearest of one block of the index for one block of queries."""
+        """The nearest of one shard for the queries sent to it."""
         import pandas as pd
 
         names = ["qnum", "score", "first", "num"]
         if not len(lists) or not len(queries):
             return pd.DataFrame({c: [] for c in names})
-        num, first, cells = (np.frombuffer(b"".join(lists[c]), np.int64) for c in ("num", "first", "cells"))
+        ix, out = shared.value, {c: [] for c in names}
+        num, first, cells = (lists[c].to_numpy() for c in ("num", "first", "cell"))
         codes, v = np.frombuffer(b"".join(lists["codes"]), np.uint8).reshape(len(num), -1), np.frombuffer(b"".join(lists["v"])).reshape(-1, dim)
         order = np.argsort(cells, kind="stable")
         num, first, cells, codes, v = num[order], first[order], cells[order], codes[order], v[order]
-        q = np.stack(queries["v"].to_list()).astype(np.float64)
-        visits = np.zeros((len(q), len(index.value.centers)), bool)
-        np.put_along_axis(visits, index.value.probed(q), True, 1)
-        rough = np.full((len(q), len(num)), -np.inf, np.float32)
-        tables = index.value.tables(q)
-        for cell in np.unique(cells):
-            a, z = np.searchsorted(cells, [cell, cell + 1])
-            who = np.flatnonzero(visits[:, cell])
-            if len(who):
-                rough[who, a:z] = index.value.scores(q[who], [t[who] for t in tables], cell, codes[a:z])
-        n = min(RERANK, len(num))
-        best = np.argpartition(-rough, n - 1, axis=1)[:, :n]
-        out = {c: [] for c in names}
-        for i, qnum in enumerate(queries["num"]):
-            at = best[i][np.isfinite(rough[i, best[i]])]
-            exact = v[at] @ q[i]
-            top = np.lexsort((first[at], -exact))[: k + 1]
-            out["qnum"].append(qnum), out["score"].append(exact[top]), out["first"].append(-first[at][top]), out["num"].append(num[at][top])
+        of, qnum = np.frombuffer(b"".join(queries["v"])).reshape(-1, dim), queries["num"].to_numpy()
+        ends = [(c, *np.searchsorted(cells, [c, c + 1])) for c in np.unique(cells)]
+        for at in range(0, len(of), SCORED):
+            q = of[at : at + SCORED]
+            visits = np.zeros((len(q), len(ix.centers)), bool)
+            np.put_along_axis(visits, ix.probed(q), True, 1)
+            rough = np.full((len(q), len(num)), -np.inf, np.float32)
+            tables = ix.tables(q)
+            for cell, a, z in ends:
+                who = np.flatnonzero(visits[:, cell])
+                if len(who):
+                    rough[who, a:z] = ix.scores(q[who], [t[who] for t in tables], cell, codes[a:z])
+            n = min(RERANK, len(num))
+            best = np.argpartition(-rough, n - 1, axis=1)[:, :n]
+            for i in range(len(q)):
+                there = best[i][np.isfinite(rough[i, best[i]])]
+                exact = v[there] @ q[i]
+                top = np.lexsort((first[there], -exact))[: k + 1]
+                out["qnum"].append(qnum[at + i]), out["score"].append(exact[top]), out["first"].append(-first[there][top]), out["num"].append(num[there][top])
         return pd.DataFrame(out)
 
-    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    lists = entries.select(F.pmod(F.xxhash64("num"), F.lit(blocks)).alias("block"), "num", F.col("ids")[0].alias("first"), "v").mapInArrow(coded, "block long, num binary, first binary, cells binary, codes binary, v binary")
-    lists = lists.withColumn("asking", spread(asking))
-    queries = entries.select("num", "v").join(asked.select("num").distinct(), "num").withColumn("asking", F.pmod(F.xxhash64("num"), F.lit(asking))).withColumn("block", spread(blocks))
-    found = queries.groupBy("asking", "block")
-    found = lists.groupBy("asking", "block").cogroup(found).applyInPandas(searched, "qnum long, score array<double>, first array<long>, num array<long>")
+    rows = [(g, int(p)) for g, p in enumerate(index.parts_of)]  # at most MOST_LISTS rows
+    groups = F.broadcast(spark.createDataFrame(rows, "g long, parts int"))
+    cell_of = F.broadcast(spark.createDataFrame([(c, int(g)) for c, g in enumerate(index.group)], "cell int, g long"))
+    asking = asked.select("num").distinct().join(entries.select("num", "v"), "num").select("num", "v").mapInArrow(sent, "num long, v binary, groups array<long>")
+    asking = cut_table(asking.select("num", "v", F.explode("groups").alias("g")))
+    met = asking.groupBy("g").count().select("g", F.ceil(F.col("count") / QUERY_BLOCK).cast("int").alias("blocks"))
+    met = F.broadcast(cut(met))  # at most MOST_LISTS rows
+    shards = lists.join(cell_of, "cell").join(groups, "g").join(met, "g").withColumn("part", F.pmod(F.xxhash64("num"), F.col("parts")).cast("int"))
+    shards = shards.select("g", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "num", "first", "cell", "codes", "v")
+    asking = asking.join(groups, "g").join(met, "g").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
+    asking = asking.select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "num", "v")
+    found = shards.groupBy("g", "part", "block").cogroup(asking.groupBy("g", "part", "block")).applyInPandas(searched, "qnum long, score array<double>, first array<long>, num array<long>")
     best = found.groupBy("qnum").agg(F.flatten(F.collect_list(F.arrays_zip("score", "first", "num"))).alias("a")).select("qnum", F.slice(F.sort_array("a", asc=False), 1, k + 1).alias("a"))
     near = best.select("qnum", F.inline("a")).join(entries.select("num", "ids"), "num").groupBy("qnum").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("neg"), i.alias("id"))))).alias("a"))
     near = near.select(F.col("qnum").alias("num"), F.slice(F.array_sort("a"), 1, k + 1).alias("a"))
