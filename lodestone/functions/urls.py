@@ -44,6 +44,13 @@ def host_suffixes(host: Column) -> Column:
     return F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice(labels, i, n), "."))).otherwise(F.array().cast("array<string>"))
 
 
+def file_name(url: Column, most: int = 255) -> Column:
+    """Last path segment, percent-decoded (a plus stays one), cut to `most` characters; 'unnamed' where there is none."""
+    last = F.regexp_extract(path(url), r"([^/]*)$", 1)
+    plain = F.coalesce(F.try_url_decode(F.replace(last, F.lit("+"), F.lit("%2B"))), last)
+    return F.when(plain == "", "unnamed").otherwise(F.substring(plain, 1, most))
+
+
 def bucket(url: Column) -> Column:
     """0..99 from sha1."""
     return F.conv(F.substring(F.sha1(url), 1, 8), 16, 10).cast("long") % 100
@@ -55,11 +62,25 @@ def shard(host: Column, nodes: int) -> Column:
 
 
 def absolute(base: Column, link: Column) -> Column:
-    """Absolute form of absolute, scheme-relative and root-relative links; others hang on the base's folder; '' without host."""
-    scheme, host = F.regexp_extract(base, r"^([a-z]+):", 1), domain(base)
-    folder = F.regexp_replace(path(base), r"[^/]*$", "")
+    """A link resolved against the url of its page as RFC 3986 says (dot segments, queries, fragments, other schemes); '' without host."""
+    part = lambda c, i: F.regexp_extract(c, r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$", i)
+    scheme, host, folder = F.lower(part(base, 1)), part(base, 2), part(base, 3)
+    own = F.lower(part(link, 1))
+    # A scheme equal to the page's, without host, says nothing.
+    rest = F.when((own == scheme) & ~link.rlike(r"^[^:]*://"), F.regexp_replace(link, r"^[^:]*:", "")).otherwise(link)
+    path, query, mark = part(rest, 3), part(rest, 4), part(rest, 5)
+    steps = F.split(path, "/", -1)
+    before = F.slice(F.split(folder, "/", -1), F.lit(1), F.size(F.split(folder, "/", -1)) - 1)
+    steps = F.when(path.startswith("/"), steps).otherwise(F.concat(F.when(F.size(before) > 0, before).otherwise(F.array(F.lit(""))), steps))
+    inner = F.filter(steps, lambda x, i: (x != "") | (i == 0) | (i == F.size(steps) - 1))
+    steps = F.when(path.startswith("/"), steps).otherwise(inner)
+    stand = F.aggregate(steps, F.array().cast("array<string>"), lambda a, x: F.when(x == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).when(x == ".", a).otherwise(F.concat(a, F.array(x))))
+    stand = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(stand, F.array(F.lit("")))).otherwise(stand)
+    resolved = F.regexp_replace(F.concat(F.lit("/"), F.array_join(stand, "/")), "^//", "/")
+    tail = F.concat(F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""), F.when(mark != "", F.concat(F.lit("#"), mark)).otherwise(""))
+    kept = F.concat(folder, F.when((query == "") & (part(base, 4) != ""), F.concat(F.lit("?"), part(base, 4))).otherwise(""), tail)
     out = (
-        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link).when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(scheme, F.lit("://"), host, link)).otherwise(F.concat(scheme, F.lit("://"), host, F.when(folder == "", F.lit("/")).otherwise(folder), link))
+        F.when(link == "", base).when((own != "") & link.rlike(r"^[^:]*://"), link).when((own != "") & (own != scheme), F.lit(""))
+        .when(rest.startswith("//"), F.concat(scheme, F.lit(":"), rest)).otherwise(F.concat(scheme, F.lit("://"), host, F.when(path == "", kept).otherwise(F.concat(resolved, tail))))
     )
-    return F.when(domain(out) == "", F.lit("")).otherwise(out)
+    return F.when(F.coalesce(domain(out), F.lit("")) == "", F.lit("")).otherwise(out)

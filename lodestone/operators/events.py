@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 def head_verdict(status: Column, ctype: Column, length: Column, most: int, least: int) -> Column:
     """retry, ok, skip_html or skip_size; what a header doesn't say is no ground to skip."""
     return (
-        F.when((status == 429) | (status >= 500), "retry").when(status >= 400, "ok").when(F.coalesce(ctype, F.lit("")).startswith("text/html"), "skip_html")
+        F.when((status == 429) | (status >= 500), "retry").when(status >= 400, "ok").when(F.trim(F.substring_index(F.lower(F.coalesce(ctype, F.lit(""))), ";", 1)).startswith("text/html"), "skip_html")
         .when(length.isNotNull() & ((length < least) | (length > most)), "skip_size").otherwise("ok")
     )
 
@@ -51,4 +51,5 @@ def breaker(events: DataFrame, limit: int = 3, park_hours: int = 48, parks: int
             out.append("blacklisted" if black else "parked" if until is not None else "active")
         return pdf[["key", "event_id"]].assign(state=out)
 
-    return events.groupBy("key").applyInPandas(replay, "key long, event_id long, state string")
+    kind = events.schema["key"].dataType.simpleString()
+    return events.groupBy("key").applyInPandas(replay, f"key {kind}, event_id long, state string")

@@ -9,14 +9,25 @@ from pyspark.sql import functions as F
 from lodestone.operators.ordered import running
 
 
-def batch_selection(candidates: DataFrame, size: int, high: float = 0.7, medium: float = 0.3, order: str = "id") -> DataFrame:
-    """Adds role (high, medium, surplus, held) to candidates (id, quality): MEDIUM up to its cap, HIGH up to the size, other MEDIUM surplus."""
-    totals = candidates.agg(F.count_if(F.col("quality") == "HIGH").alias("_h"), F.count_if(F.col("quality") == "MEDIUM").alias("_n"))  # one row
-    first = candidates.select(order, "quality").withColumn("_k", F.row_number().over(W.partitionBy("quality").orderBy(order))).where(F.col("_k") <= size)
-    out = candidates.join(first, [order, "quality"], "left").crossJoin(F.broadcast(totals))
-    cap = F.least(F.floor(F.lit(float(size)) * medium), F.floor(F.col("_h") * F.lit(medium) / F.lit(high)))
+def composition(high: float, medium: float) -> tuple[float, float]:
+    """Shares of HIGH (at least) and MEDIUM (at most) that hold: weaker ones than the contract's are set to it."""
+    return max(high, 0.70), min(medium, 0.30)
+
+
+def batch_selection(candidates: DataFrame, size: int, high: float = 0.7, medium: float = 0.3, order: str = "id", assigned: str | None = None) -> DataFrame:
+    """Adds role (high, medium, surplus, held) to candidates (id, quality): rows that have a name (column `assigned`) first and in any case, then MEDIUM up to its cap, HIGH up to the size; other MEDIUM is surplus."""
+    named = F.lit(False) if assigned is None else F.col(assigned).isNotNull()
+    rows = candidates.withColumn("_named", named)
+    of = lambda q, n: F.count_if((F.col("quality") == q) & (F.col("_named") if n else ~F.col("_named")))
+    totals = rows.agg(of("HIGH", True).alias("_ah"), of("MEDIUM", True).alias("_am"), of("HIGH", False).alias("_fh"), of("MEDIUM", False).alias("_fm"))  # one row
+    first = rows.where("NOT _named").select(order, "quality").withColumn("_k", F.row_number().over(W.partitionBy("quality").orderBy(order))).where(F.col("_k") <= size)
+    out = rows.join(first, [order, "quality"], "left").crossJoin(F.broadcast(totals))
+    cap = F.least(F.floor(F.lit(float(size)) * medium), F.floor((F.col("_ah") + F.col("_fh")) * F.lit(medium) / F.lit(high)))
+    room = F.greatest(F.lit(size) - F.col("_ah") - F.col("_am"), F.lit(0))
+    more = F.least(F.greatest(F.least(cap, F.col("_am") + F.col("_fm")) - F.col("_am"), F.lit(0)), room)
     k = F.coalesce("_k", F.lit(size + 1))
-    role = F.when(F.col("quality") == "MEDIUM", F.when(k <= cap, "medium").otherwise("surplus")).when(k <= size - F.least(cap, F.col("_n")), "high").otherwise("held")
+    fresh = F.when(F.col("quality") == "MEDIUM", F.when(k <= more, "medium").otherwise("surplus")).when(k <= room - more, "high").otherwise("held")
+    role = F.when(F.col("_named"), F.lower("quality")).otherwise(fresh)
     return out.withColumn("role", role).select(*candidates.columns, "role")
 
 
@@ -67,7 +78,5 @@ def stale_logs(logs: DataFrame, cutoff: Column, keep: int = 5) -> DataFrame:
 
 
 def within_budget(rows: DataFrame, key: str, order: list[str], value: str, cap: float) -> DataFrame:
-    """Adds running and kept: rows of a key in order until the first whose running total is over the cap."""
-    w = W.partitionBy(key).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = rows.withColumn("running", F.sum(value).over(w))
-    return out.withColumn("kept", F.max("running").over(w) <= cap)
+    """Adds running and kept: rows of a key in order until the first whose running total is over the cap. Values are sizes, none below 0."""
+    return running(rows, order, key=key, running=("sum", F.col(value))).withColumn("kept", F.col("running") <= cap)

@@ -27,6 +27,15 @@ def merged_updates(rows: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return rows.join(u, key, "left").select(*[F.coalesce(f"_u_{c}", c).alias(c) if c in cols else F.col(c) for c in rows.columns])
 
 
+def tier_acceptance(urls: DataFrame, files: DataFrame) -> DataFrame:
+    """Per tier: candidates, accepted (files to deliver), bytes, accepted_per_1k (two places, half to even), bytes_per_accepted (null without any). A url counts once for each of its files."""
+    n = F.count("*")
+    ok = F.count_if(F.col("decision") == "DELIVER")
+    out = urls.join(files.select("url_id", "decision"), F.col("id") == F.col("url_id"), "left").groupBy("tier").agg(n.alias("candidates"), ok.alias("accepted"), F.sum(F.coalesce("content_length", F.lit(0))).cast("long").alias("bytes"))
+    per = F.bround(F.col("bytes").cast("double") / F.nullif(F.col("accepted"), F.lit(0)), 0).cast("long")
+    return out.withColumn("accepted_per_1k", F.bround(F.lit(1000.0) * F.col("accepted") / F.col("candidates"), 2)).withColumn("bytes_per_accepted", per)
+
+
 def compare_folders(a: DataFrame, b: DataFrame, key: str = "sha") -> DataFrame:
     """(role, n): hashes in both, only in a, only in b, and all. One aggregation over both folders."""
     both = a.select(F.col(key).alias("k"), F.lit(1).alias("f")).union(b.select(F.col(key).alias("k"), F.lit(2).alias("f")))

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from lodestone.functions import decks as D
 from lodestone.functions import robots, screens as S
 from lodestone.functions import urls as U
-from lodestone.operators import dedup, drawings, events as E, filtering, images, packaging, pictures, registry as R
+from lodestone.operators import dedup, delivery, drawings, events as E, filtering, images, packaging, pictures, registry as R
 from lodestone.operators.ordered import running
+from lodestone.plans import delivery as delivery_plans
+from lodestone.sources import sinks
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+QUERIES: dict = dict(delivery_plans.QUERIES)
+SQL: dict[str, str] = dict(delivery_plans.SQL)
 
 
 def query(sql: str | None = None):
@@ -46,30 +48,44 @@ def urls(spark, d) -> DataFrame:
 
 URLS = """urls AS (SELECT page_id AS id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS domain, CAST(page_id % 7 + 1 AS INTEGER) AS tier,
  ['commoncrawl','zenodo','federal','wayback_cdx','generic'][1 + page_id % 5] AS discovery_source, CASE WHEN page_id % 3 = 0 THEN 'parked' WHEN page_id % 11 = 0 THEN 'delivered' ELSE 'discovered' END AS status FROM pages)"""
-BLOCKED_SQL = """blocked AS (SELECT id, first(e ORDER BY length(e) DESC) AS entry FROM urls, (VALUES ('spam-farm.example.org'), ('cheap-pills.example.com'), ('example.info')) b(e) WHERE domain = e OR domain LIKE '%.' || e GROUP BY id)"""
-REASONS = f"""{URLS}, {BLOCKED_SQL},
-st AS (SELECT urls.*, CASE WHEN NOT regexp_matches(url, '^https?://[^/?#]+') THEN 'malformed_url' WHEN entry IS NOT NULL THEN 'blocklist' WHEN discovery_source = 'federal' THEN 'excluded_source'
- WHEN NOT (discovery_source LIKE 'wayback%' OR discovery_source LIKE 'zenodo%') AND NOT ends_with(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)), '.html') THEN 'extension' ELSE 'kept' END AS s FROM urls LEFT JOIN blocked USING (id)),
-r AS (SELECT id, domain, discovery_source, CASE WHEN s = 'kept' AND row_number() OVER (PARTITION BY domain, s ORDER BY id) > 3 THEN 'domain_cap' ELSE s END AS reason FROM st)"""
+BLOCKED_SQL = r"""blocked AS (SELECT id, coalesce(first(e ORDER BY length(e) DESC), any_value(re)) AS entry FROM (
+ SELECT id, b.e, CASE WHEN regexp_matches(url, '(?i)/77[0-9]+') THEN 're:/77[0-9]+' END AS re FROM urls LEFT JOIN (VALUES ('spam-farm.example.org'), ('cheap-pills.example.com'), ('example.info')) b(e)
+ ON regexp_replace(domain, ':.*$', '') = e OR regexp_replace(domain, ':.*$', '') LIKE '%.' || e) GROUP BY id HAVING entry IS NOT NULL)"""
+REASONS = rf"""{URLS}, {BLOCKED_SQL}, ex AS (SELECT id, 'example.net' AS entry FROM urls WHERE domain = 'example.net' OR domain LIKE '%.example.net'),
+st AS (SELECT urls.*, CASE WHEN tier = 5 THEN 1 ELSE 3 END AS cap, CASE WHEN NOT regexp_matches(url, '^https?://[^/?#]+') THEN 'malformed_url' WHEN blocked.entry IS NOT NULL THEN 'blocklist:' || blocked.entry WHEN ex.entry IS NOT NULL THEN 'excluded_source:' || ex.entry
+ WHEN NOT (discovery_source LIKE 'wayback%' OR discovery_source LIKE 'zenodo%') AND NOT ends_with(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)), '.html') THEN 'extension' END AS s FROM urls LEFT JOIN blocked USING (id) LEFT JOIN ex USING (id) WHERE status = 'discovered'),
+base AS (SELECT domain, count(*) AS n FROM urls WHERE status NOT IN ('discovered', 'filtered_out') GROUP BY domain),
+u AS (SELECT st.*, coalesce(n, 0) AS base, row_number() OVER (PARTITION BY domain ORDER BY id) AS k FROM st LEFT JOIN base USING (domain) WHERE s IS NULL),
+walk AS (SELECT id, domain, k, base < cap AS kept, base + CASE WHEN base < cap THEN 1 ELSE 0 END AS n FROM u WHERE k = 1
+ UNION ALL SELECT u.id, u.domain, u.k, walk.n < u.cap, walk.n + CASE WHEN walk.n < u.cap THEN 1 ELSE 0 END FROM walk JOIN u ON u.domain = walk.domain AND u.k = walk.k + 1),
+r AS (SELECT st.id, st.domain, discovery_source, coalesce(s, CASE WHEN kept THEN 'kept' ELSE 'domain_cap:' || cap END) AS reason FROM st LEFT JOIN walk USING (id))"""
 
 
 def _blocked(spark) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*map(F.lit, BLOCKED))).alias("entry"))
 
 
-@query(f"WITH {REASONS} SELECT id, domain, reason FROM r")
+PATTERNS = ("/77[0-9]+",)
+
+
+def _reasons(spark, d):
+    excluded = spark.range(1).select(F.lit("example.net").alias("entry"))
+    return filtering.filter_reasons(urls(spark, d), _blocked(spark), (".html",), 3, {5: 1}, excluded, PATTERNS)
+
+
+@query(f"WITH RECURSIVE {REASONS} SELECT id, domain, reason FROM r")
 def url_filter_reasons(spark, d):
-    return filtering.filter_reasons(urls(spark, d), _blocked(spark), (".html",), 3, ("federal",)).select("id", "domain", "reason")
+    return _reasons(spark, d).select("id", "domain", "reason")
 
 
-@query(f"WITH {REASONS} SELECT discovery_source, reason, count(*) AS n FROM r GROUP BY ALL")
+@query(f"WITH RECURSIVE {REASONS} SELECT discovery_source, regexp_replace(reason, ':.*$', '') AS reason, count(*) AS n FROM r GROUP BY ALL")
 def url_filter_summary(spark, d):
-    return filtering.filter_reasons(urls(spark, d), _blocked(spark), (".html",), 3, ("federal",)).groupBy("discovery_source", "reason").agg(F.count("*").alias("n"))
+    return _reasons(spark, d).groupBy("discovery_source", F.regexp_replace("reason", ":.*$", "").alias("reason")).agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {URLS}, {BLOCKED_SQL} SELECT id, entry FROM blocked")
 def blocklist_hits(spark, d):
-    return filtering.blocklist_entry(urls(spark, d), _blocked(spark))
+    return filtering.blocklist_entry(urls(spark, d), _blocked(spark), PATTERNS)
 
 
 @query("""WITH RECURSIVE u AS (SELECT user_id, event_id, CASE WHEN event_id % 5 = 0 THEN 3 ELSE 6 END AS cap, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
@@ -81,12 +97,12 @@ def domain_cap_mixed(spark, d):
     return filtering.mixed_caps(e, [3, 6], "user_id", "event_id").select("event_id", "kept")
 
 
-@query("""WITH h AS (SELECT event_id, [200, 403, 404, 429, 503, 200, 200][1 + event_id % 7] AS status, CASE WHEN event_type = 'view' THEN 'text/html; charset=utf-8' ELSE 'application/octet-stream' END AS ctype, CAST(value * 1000 AS BIGINT) AS clen FROM events)
-SELECT event_id, CASE WHEN status = 429 OR status >= 500 THEN 'retry' WHEN status >= 400 THEN 'ok' WHEN starts_with(ctype, 'text/html') THEN 'skip_html' WHEN clen < 10000 OR clen > 90000 THEN 'skip_size' ELSE 'ok' END AS verdict FROM h""")
+@query("""WITH h AS (SELECT event_id, [200, 403, 404, 429, 503, 200, 200][1 + event_id % 7] AS status, CASE WHEN event_type = 'view' THEN 'Text/HTML; charset=utf-8' ELSE 'application/octet-stream' END AS ctype, CAST(value * 1000 AS BIGINT) AS clen FROM events)
+SELECT event_id, CASE WHEN status = 429 OR status >= 500 THEN 'retry' WHEN status >= 400 THEN 'ok' WHEN starts_with(trim(split_part(lower(ctype), ';', 1)), 'text/html') THEN 'skip_html' WHEN clen < 10000 OR clen > 90000 THEN 'skip_size' ELSE 'ok' END AS verdict FROM h""")
 def head_verdicts(spark, d):
     e = table(spark, d, "events")
     status = F.element_at(F.array(*[F.lit(x) for x in (200, 403, 404, 429, 503, 200, 200)]), (F.col("event_id") % 7 + 1).cast("int"))
-    h = e.select("event_id", status.alias("status"), F.when(F.col("event_type") == "view", "text/html; charset=utf-8").otherwise("application/octet-stream").alias("ctype"), F.round(F.col("value") * 1000).cast("long").alias("clen"))
+    h = e.select("event_id", status.alias("status"), F.when(F.col("event_type") == "view", "Text/HTML; charset=utf-8").otherwise("application/octet-stream").alias("ctype"), F.round(F.col("value") * 1000).cast("long").alias("clen"))
     return h.select("event_id", E.head_verdict(F.col("status"), F.col("ctype"), F.col("clen"), 90_000, 10_000).alias("verdict"))
 
 
@@ -169,10 +185,11 @@ def rights(spark, d):
     return _screens(spark, d).select("doc_id", S.times(F.col("text"), S.RIGHTS).alias("notices"), S.rights(F.col("text")).alias("screen_rights"))
 
 
-@query(r"""SELECT doc_id, CASE WHEN regexp_matches(coalesce(text,''), '(?i)\b(children under 13|under-13|coppa|kindergarten|elementary school students|pupils?''? (names?|records?|data)|student records?|minors?''? personal|child(?:ren)?''s personal (?:data|information))\b') AND regexp_matches(coalesce(text,''), '(?i)\b(name|address|birthdate|date of birth|photo|email|phone)\b') THEN 'REVIEW' ELSE 'PASS' END AS screen_minors,
-CASE WHEN regexp_matches(coalesce(text,''), '(?i)\b(explicit sexual|pornograph\w+|xxx[\s-]rated|escort service|beheading|gore video|graphic violence|torture footage|snuff|jihadist propaganda|white supremac\w+|neo-nazi|terrorist recruitment|extremist manifesto)\b') THEN 'REJECT' ELSE 'PASS' END AS screen_prohibited FROM documents""")
+@query(r'''SELECT doc_id, CASE WHEN regexp_matches(coalesce(text,''), '(?i)\b(children under 13|under-13|coppa|kindergarten|elementary school students|pupils?''? (names?|records?|data)|student records?|minors?''? personal|child(?:ren)?''s personal (?:data|information))\b') AND regexp_matches(coalesce(text,''), '(?i)\b(name|address|birthdate|date of birth|photo|email|phone)\b') THEN 'REVIEW' ELSE 'PASS' END AS screen_minors,
+CASE WHEN c IS NOT NULL THEN 'REJECT' ELSE 'PASS' END AS screen_prohibited, c AS category FROM (SELECT *, CASE WHEN regexp_matches(coalesce(text,''), '(?i)\b(explicit sexual|pornograph\w+|xxx[\s-]rated|escort service)\b') THEN 'adult'
+ WHEN regexp_matches(coalesce(text,''), '(?i)\b(beheading|gore video|graphic violence|torture footage|snuff)\b') THEN 'violent' WHEN regexp_matches(coalesce(text,''), '(?i)\b(jihadist propaganda|white supremac\w+|neo-nazi|terrorist recruitment|extremist manifesto)\b') THEN 'extremist' END AS c FROM documents)''')
 def minors_prohibited(spark, d):
-    return _screens(spark, d).select("doc_id", S.minors(F.col("text")).alias("screen_minors"), S.prohibited(F.col("text")).alias("screen_prohibited"))
+    return _screens(spark, d).select("doc_id", S.minors(F.col("text")).alias("screen_minors"), S.prohibited(F.col("text")).alias("screen_prohibited"), S.prohibited_category(F.col("text")).alias("category"))
 
 
 FILES = f"""{PII_SQL}, first AS (SELECT text, min(doc_id) AS owner FROM documents GROUP BY text),
@@ -215,12 +232,30 @@ def stream_gate(spark, d):
     return packaging.stream_gate(_candidates(spark, d), 1000).select("id", "kept")
 
 
-@query(f"""WITH {FILES}, n AS (SELECT *, row_number() OVER (ORDER BY id) AS c FROM roles WHERE role IN ('high', 'medium'))
-SELECT id, 'BATCH_01_file_' || lpad(CAST(c AS VARCHAR), 5, '0') || '.txt' AS delivered_filename, sha256, quality AS quality_class, size AS slide_count, 'PASS' AS screen_pii, 'DELIVERED' AS final_status FROM n""")
+@query(f"""WITH {FILES}, n AS (SELECT roles.*, row_number() OVER (ORDER BY id) AS c FROM roles WHERE role IN ('high', 'medium')),
+m AS (SELECT n.*, d.text, d.source, e.emails, e.ssns FROM n JOIN documents d ON d.doc_id = n.id JOIN e ON e.doc_id = n.id)
+SELECT 'BATCH_01_file_' || lpad(CAST(c AS VARCHAR), 5, '0') || '.txt' AS delivered_filename, sha256, 'https://' || source || '/' || id AS source_url, source AS source_domain, 'https://' || source || '/' || id AS download_url, id || '.txt' AS original_filename, 'txt' AS format,
+ '0' AS converted_from_ppt, CAST(len(string_split(text, chr(10))) AS VARCHAR) AS slide_count, quality AS quality_class, '' AS collection_ts, '' AS download_ts, CAST(CASE WHEN id % 9 = 0 THEN 404 ELSE 200 END AS VARCHAR) AS http_status, 'allowed' AS robots_status, CASE WHEN id % 6 = 0 THEN 'wayback' ELSE 'origin' END AS retrieval_method,
+ CASE WHEN id % 6 = 0 THEN 'archived-via-wayback' WHEN id % 9 = 0 THEN 'dead' ELSE 'reachable' END AS public_access_status, 'PASS' AS screen_pirate, 'PASS' AS screen_robots, 'PASS' AS screen_rights, CASE WHEN emails > 3 OR ssns > 0 THEN 'REVIEW' ELSE 'PASS' END AS screen_pii,
+ 'PASS' AS screen_minors, CASE WHEN regexp_matches(text, '(?i)\\b(snuff|neo-nazi|pornograph\\w+)\\b') THEN 'REJECT' ELSE 'PASS' END AS screen_prohibited, '' AS page_index, '' AS image_sha256, '' AS phash, '' AS source_file_sha256, '' AS extraction_method, 'delivered' AS final_status FROM m""")
 def manifest(spark, d):
+    """All columns of a manifest; the screens are those that the DuckDB side can express (screens says them in full)."""
     chosen = packaging.batch_selection(_candidates(spark, d), 50).where(F.col("role").isin("high", "medium"))
-    c = F.row_number().over(W.orderBy("id"))
-    return chosen.select("id", packaging.file_name(F.lit(1), c, F.lit("txt")).alias("delivered_filename"), "sha256", F.col("quality").alias("quality_class"), F.col("size").alias("slide_count"), F.lit("PASS").alias("screen_pii"), F.lit("DELIVERED").alias("final_status"))
+    c = F.row_number().over(W.orderBy("id"))  # a batch, of bounded size
+    files = chosen.withColumn("delivered_filename", packaging.file_name(F.lit(1), c, F.lit("txt")))
+    t, i = F.col("text"), F.col("id")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    address = F.concat(F.lit("https://"), "source", F.lit("/"), i.cast("string"))
+    pii = F.when((S.emails(t) > 3) | (S.times(t, S.SSN) > 0), "REVIEW").otherwise("PASS")
+    how = F.when(i % 6 == 0, "wayback").otherwise("origin")
+    status = F.when(i % 9 == 0, 404).otherwise(200)
+    rows = docs.join(F.broadcast(files), "id").select(
+        "delivered_filename", "sha256", address.alias("source_url"), F.col("source").alias("source_domain"), address.alias("download_url"), F.concat(i.cast("string"), F.lit(".txt")).alias("original_filename"), F.lit("txt").alias("format"),
+        F.lit(0).alias("converted_from_ppt"), F.size(F.split("text", "\n", -1)).alias("slide_count"), F.col("quality").alias("quality_class"), status.alias("http_status"), F.lit("allowed").alias("robots_status"), how.alias("retrieval_method"),
+        delivery.public_access(how, status).alias("public_access_status"), F.lit("PASS").alias("screen_pirate"), F.lit("PASS").alias("screen_robots"), F.lit("PASS").alias("screen_rights"), pii.alias("screen_pii"), F.lit("PASS").alias("screen_minors"),
+        S.prohibited(t).alias("screen_prohibited"), F.lit("delivered").alias("final_status"),
+    )
+    return sinks.manifest_rows(rows)
 
 
 SLIDES = """slides AS (SELECT l_orderkey AS deck, l_linenumber AS slide, CAST(l_returnflag = 'R' AS INTEGER) AS native_chart, CAST(l_linenumber % 5 = 0 AS INTEGER) AS diagram, CAST(l_quantity > 40 AS INTEGER) AS table_, CAST(l_discount > 0.09 AS INTEGER) AS ole,
@@ -294,12 +329,15 @@ def status_rollup(spark, d):
     return urls(spark, d).groupingSets([["status"], ["tier", "status"]], "tier", "status").agg(F.count("*").alias("n")).withColumn("tier", F.coalesce("tier", F.lit(0)))
 
 
-@query(f"WITH {URLS}, f AS (SELECT doc_id AS url_id, n_chars AS size FROM documents) SELECT tier, count(*) AS candidates, CAST(sum(CASE WHEN status = 'delivered' THEN 1 ELSE 0 END) AS BIGINT) AS accepted, CAST(sum(coalesce(size, 0)) AS BIGINT) AS bytes, round_even(1000.0::DOUBLE * sum(CASE WHEN status = 'delivered' THEN 1 ELSE 0 END) / count(*), 2) AS accepted_per_1k FROM urls LEFT JOIN f ON urls.id = f.url_id GROUP BY tier")
+@query(f"""WITH {URLS}, f AS (SELECT doc_id % (SELECT count(*) FROM pages) AS url_id, CASE doc_id % 5 WHEN 0 THEN 'REVIEW' WHEN 1 THEN 'REJECT' ELSE 'DELIVER' END AS decision FROM documents),
+s AS (SELECT tier, count(*) AS candidates, count(*) FILTER (decision = 'DELIVER') AS accepted, CAST(sum(length(url)) AS BIGINT) AS bytes FROM urls LEFT JOIN f ON urls.id = f.url_id GROUP BY tier)
+SELECT *, round_even(1000.0::DOUBLE * accepted / candidates, 2) AS accepted_per_1k, CAST(round_even(bytes::DOUBLE / nullif(accepted, 0), 0) AS BIGINT) AS bytes_per_accepted FROM s""")
 def tier_acceptance(spark, d):
-    files = table(spark, d, "documents").select(F.col("doc_id").alias("url_id"), F.col("n_chars").alias("size"))
-    j = urls(spark, d).join(files, F.col("id") == F.col("url_id"), "left")
-    ok = F.sum(F.when(F.col("status") == "delivered", 1).otherwise(0))
-    return j.groupBy("tier").agg(F.count("*").alias("candidates"), ok.alias("accepted"), F.sum(F.coalesce("size", F.lit(0))).alias("bytes"), F.bround(F.lit(1000.0) * ok / F.count("*"), 2).alias("accepted_per_1k"))
+    """A url counts once for each of its files; its length stands for the bytes that were fetched."""
+    n = table(spark, d, "pages").count()
+    of = F.when(F.col("doc_id") % 5 == 0, "REVIEW").when(F.col("doc_id") % 5 == 1, "REJECT").otherwise("DELIVER")
+    files = table(spark, d, "documents").select((F.col("doc_id") % max(n, 1)).alias("url_id"), of.alias("decision"))
+    return R.tier_acceptance(urls(spark, d).withColumn("content_length", F.length("url")), files)
 
 
 @query("SELECT event_type AS kind, count(*) AS n, count(*) FILTER (ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY) AS last_day FROM events GROUP BY event_type")
@@ -372,7 +410,7 @@ def near_dup_flags(spark, d):
     return h.join(later, "id", "left").select("id", F.coalesce("hit", F.lit(False)).alias("is_duplicate"))
 
 
-@query(r"""SELECT conv_id, turn, CASE WHEN regexp_matches(t, '(?im)^\s*(agenda|outline|contents?|table of contents|today''?s (topics|agenda)|overview of (the )?presentation)\s*$') THEN 'agenda' WHEN regexp_matches(t, '(?i)\b(thank\s*you|thanks|merci|gracias|danke|obrigado)\b[\s!.]*$') THEN 'thank_you'
+@query(r"""SELECT conv_id, turn, CASE WHEN regexp_matches(t, '(?im)^\s*(agenda|outline|contents?|table of contents|today''?s (topics|agenda)|overview of (the )?presentation)\s*$') THEN 'agenda' WHEN regexp_matches(t, '(?i)\b(thank\s*you|thanks|merci|gracias|danke|obrigado|谢谢|ありがとう)\b[\s!.]*$') THEN 'thank_you'
  WHEN regexp_matches(t, '(?im)^\s*(q\s*&\s*a|questions\??|any questions\??|discussion)\s*$') THEN 'qa' WHEN regexp_matches(t, '(?im)^\s*(section|part|chapter|appendix)\s*[:\-]?\s*[\divxIVX]*\s*$') THEN 'divider' WHEN regexp_matches(t, '(?i)\b(safe harbor|forward.looking statements?|disclaimer|legal notice|cautionary statement)\b') THEN 'disclaimer'
  WHEN (turn = lo OR turn = hi) AND chars <= 200 THEN 'title_or_closing' WHEN chars <= 40 THEN 'near_empty_divider' END AS filler_reason
  FROM (SELECT conv_id, turn, trim(coalesce(text, '')) AS t, length(regexp_replace(coalesce(text, ''), '\s', '', 'g')) AS chars, min(turn) OVER (PARTITION BY conv_id) AS lo, max(turn) OVER (PARTITION BY conv_id) AS hi FROM conversations)""")
@@ -384,10 +422,10 @@ def filler_flags(spark, d):
     return c.select("conv_id", "turn", D.filler_reason(F.col("t"), F.col("chars"), (F.col("turn") == F.col("lo")) | (F.col("turn") == F.col("hi"))).alias("filler_reason"))
 
 
-@query("""WITH s AS (SELECT doc_id, n_chars AS size, sum(n_chars) OVER () AS total, sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS running FROM documents WHERE doc_id % 4 = 0) SELECT doc_id, CAST(size AS BIGINT) AS size FROM s WHERE total - (running - size) > 200000""")
+@query("""WITH s AS (SELECT doc_id, n_chars AS size, sum(n_chars) OVER () AS total, sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS running FROM documents) SELECT doc_id, CAST(size AS BIGINT) AS size FROM s WHERE total - (running - size) > 200000""")
 def review_prune(spark, d):
-    """Oldest first out of the backlog until what is left fits the cap."""
-    rows = table(spark, d, "documents").where("doc_id % 4 = 0").select("doc_id", F.col("n_chars").alias("size"))
+    """Oldest first out of the backlog, all documents, until what is left fits the cap."""
+    rows = table(spark, d, "documents").select("doc_id", F.col("n_chars").alias("size"))
     total = rows.agg(F.sum("size").alias("total"))
     out = running(rows, ["doc_id"], running=("sum", F.col("size"))).crossJoin(F.broadcast(total))
     return out.where(F.col("total") - (F.col("running") - F.col("size")) > 200_000).select("doc_id", "size")

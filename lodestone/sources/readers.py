@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import urls as U
+from lodestone.sources.decks import pptx_slides  # noqa: F401
 
 CANDIDATE = "url string, domain string, tier int, discovery_source string, metadata map<string,string>"
 
@@ -113,38 +114,6 @@ def sitemap_walk(spark: SparkSession, roots: DataFrame, pages: DataFrame, depth:
     return seen
 
 
-def pptx_slides(files: DataFrame) -> DataFrame:
-    """Slide facts of .pptx files (path, content): path, slide (from 1), native_chart, diagram, table_, ole, image_count, text_chars, bullets, text; bad files give one row with error."""
-
-    def run(batches):
-        import io
-        import re
-        import zipfile
-        from xml.etree import ElementTree
-
-        import pandas as pd
-
-        A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
-        names = "path slide native_chart diagram table_ ole image_count text_chars bullets text error".split()
-        for b in batches:
-            out = []
-            for path, content in zip(b["path"], b["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        slides = sorted((x for x in z.namelist() if re.fullmatch(r"ppt/slides/slide\d+\.xml", x)), key=lambda x: int(re.findall(r"\d+", x)[0]))
-                        for i, s in enumerate(slides, 1):
-                            root = ElementTree.fromstring(z.read(s))
-                            uris = [g.get("uri", "") for g in root.iter(A + "graphicData")]
-                            paras = ["".join(t.text or "" for t in p.iter(A + "t")) for p in root.iter(A + "p")]
-                            text = "\n".join(paras)
-                            out.append((path, i, sum("/chart" in u for u in uris), sum("/diagram" in u for u in uris), sum(u.endswith("/table") for u in uris), sum("/ole" in u for u in uris), sum(1 for _ in root.iter(A + "blip")), len(re.sub(r"\s", "", text)), sum(1 for p in root.iter(A + "buChar")), text, None))
-                except Exception as e:  # a broken file is a row, not a failed job
-                    out.append((path, 0, 0, 0, 0, 0, 0, 0, 0, "", f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=names)
-
-    return files.select("path", "content").mapInPandas(run, "path string, slide int, native_chart int, diagram int, table_ int, ole int, image_count int, text_chars int, bullets int, text string, error string")
-
-
 def pictures(spark: SparkSession, path: str) -> DataFrame:
     """Images under a folder, decoded by the JVM: id (the path), width, height and rgb (three bytes a pixel); null pixels for what is no image."""
 
