@@ -15,7 +15,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A word in text whose A-Z are as written.
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Largest measured size of a table that is joined by broadcast.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 48 << 20
 #: A key is hot if more than this share of all rows have it (so there are at most 1 / SHARE hot keys), and HOT_ROWS at least.
 HOT_SHARE, HOT_ROWS, SALTS = 1e-4, 20_000, 64
 
@@ -125,7 +125,7 @@ def dropped(table: DataFrame) -> None:
 
 def size_of(df: DataFrame) -> Column:
     """About how many bytes a row takes in a broadcast table: strings and arrays by their length."""
-    total = F.lit(16)
+    total, element = F.lit(40), {"array<int>": 4, "array<bigint>": 8, "array<double>": 8}
     for f in df.schema.fields:
         c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
         if kind in ("string", "binary"):
@@ -133,10 +133,10 @@ def size_of(df: DataFrame) -> Column:
         elif kind == "array<string>":
             n = F.octet_length(F.array_join(c, "")) + 16 * F.size(c)
         elif kind.startswith(("array", "map")):
-            n = 16 * F.size(c)
+            n = element.get(kind, 32) * F.size(c)
         else:
             n = F.lit(0)
-        total = total + 16 + F.greatest(F.coalesce(n, F.lit(0)), F.lit(0))
+        total = total + 8 + F.greatest(F.coalesce(n, F.lit(0)), F.lit(0))
     return total.cast("long")
 
 

@@ -89,7 +89,8 @@ def phrases_at(index: DataFrame, counts: DataFrame, phrases: DataFrame, few: boo
     def kept(places: DataFrame, asked) -> DataFrame:
         """Of places, those at which all terms of an array of (o, term) stand. Each posting is met once for each place that asks for it."""
         asks = cut_table(places.select("*", F.explode(asked).alias("e")).select(*places.columns, (F.col("start") + F.col("e.o")).alias("pos"), F.col("e.term").alias("term")))
-        return joined_small(index, asks, ["_row", "pos", "term"])
+        # Grows with the corpus, so it is never broadcast: the plan is the same at every size.
+        return index.join(asks.hint("merge"), ["_row", "pos", "term"])
 
     two = kept(first.where("b IS NOT NULL"), F.array("b")).select("_row", "win", "start", "n", "rest")
     two = cut_table(two)
