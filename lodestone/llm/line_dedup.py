@@ -94,7 +94,8 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, long_lines: bool = F
     equal runs the one in the document of the smallest id stays (null ids last, then row order). Null texts stay null, with
     no lines; empty texts have none; repeated rows count as copies of each other; extra columns pass through, those with the
     name of an added one are replaced by it. Runs do not reach over documents. A run has min_lines lines at least; with
-    long_lines, one line of over LONG_WORDS words or LONG_BYTES bytes also counts as a run. A text of many lines takes time
+    long_lines, one line of over LONG_WORDS words or LONG_BYTES bytes also counts as a run, and such lines side by side as one.
+    A text of many lines takes time
     in proportion to them, times the number of rounds.
     """
     docs = anchored(docs)
@@ -108,13 +109,15 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, long_lines: bool = F
         .select("_row", "_none", "_id", "i", F.unhex(F.md5("text_")).alias("line"), *([long.alias("long")] if long_lines else []))
     )
     ranks = levels(lines, min_lines)
-    runs = later_copies(ranks, min_lines)
+    runs = later_copies(ranks, min_lines).withColumn("alone", F.lit(False))
     if long_lines:
-        runs = runs.union(ranks[0][1].where("long").where(place() != F.col("first")).select("_row", "i", F.lit(1)))
-    before = W.partitionBy("_row").orderBy("i", F.desc("n")).rowsBetween(W.unboundedPreceding, -1)
+        runs = runs.union(ranks[0][1].where("long").where(place() != F.col("first")).select("_row", "i", F.lit(1), F.lit(True)))
+    before = W.partitionBy("_row").orderBy("i", F.desc("n"), "alone").rowsBetween(W.unboundedPreceding, -1)
     end = F.col("i") + F.col("n")
     runs = runs.withColumn("reach", F.coalesce(F.max(end).over(before), F.lit(0))).where(F.col("reach") < end)
-    gone = runs.groupBy("_row").agg(F.count("*").alias("_runs"), F.array_sort(F.flatten(F.collect_list(F.sequence(F.greatest("i", "reach"), end - 1)))).alias("_gone"))
+    by = W.partitionBy("_row").orderBy("i")
+    runs = runs.withColumn("goes_on", F.coalesce(F.col("alone") & F.lag("alone").over(by) & (F.lag("i").over(by) == F.col("i") - 1), F.lit(False)))
+    gone = runs.groupBy("_row").agg(F.count_if(~F.col("goes_on")).alias("_runs"), F.array_sort(F.flatten(F.collect_list(F.sequence(F.greatest("i", "reach"), end - 1)))).alias("_gone"))
     out = joined_small(packed(docs, id_col, text_col), cut_table(gone), "_row", "left")
     # Lines and their numbers come out of generators, so that a text is split once for all uses.
     out = out.withColumn("_lines", F.explode(F.array(split)))
@@ -144,10 +147,10 @@ lcp AS (SELECT hd.r, hd.i, max(k) AS n FROM hd JOIN l ON l.r = hd.r JOIN l l2 ON
 one AS (SELECT r, i, x[i] AS line FROM (SELECT r, x, unnest(range(1, len(x) + 1)) AS i FROM l)),
 lng AS (SELECT r, i, 1 AS n FROM (SELECT r, i, line, row_number() OVER (PARTITION BY line ORDER BY r, i) AS k FROM one)
         WHERE k > 1 AND (strlen(line) > 500 OR len(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) > 50)),
-ru AS (SELECT * FROM (SELECT *, coalesce(max(i + n) OVER (PARTITION BY r ORDER BY i, n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach FROM (SELECT * FROM lcp UNION ALL SELECT * FROM lng)) WHERE reach < i + n),
+ru AS (SELECT * FROM (SELECT *, coalesce(max(i + n) OVER (PARTITION BY r ORDER BY i, n DESC, alone ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach FROM (SELECT *, false AS alone FROM lcp UNION ALL SELECT *, true FROM lng)) WHERE reach < i + n),
 g AS (SELECT DISTINCT r, i + o AS i FROM ru, LATERAL (SELECT unnest(range(0, n)) AS o)),
 c AS (SELECT r, count(*) AS n_removed, list(i) AS gone FROM g GROUP BY r),
-nr AS (SELECT r, count(*) AS n_runs FROM ru GROUP BY r),
+nr AS (SELECT r, count(*) FILTER (NOT goes_on) AS n_runs FROM (SELECT r, coalesce(alone AND lag(alone) OVER w AND lag(i) OVER w = i - 1, false) AS goes_on FROM ru WINDOW w AS (PARTITION BY r ORDER BY i)) GROUP BY r),
 kept AS (SELECT f.r, array_to_string(list_transform(list_filter(range(1, len(a) + 1), lambda k: NOT coalesce(list_contains(list_transform(gone, lambda i: nb[i]), k), false)), lambda k: a[k]), chr(10)) AS text FROM f LEFT JOIN c USING (r))
 SELECT d.doc_id, CAST(len(f.nb) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, sha256(coalesce(kept.text, '')) AS text_sha256
 FROM d JOIN f USING (r) LEFT JOIN c USING (r) LEFT JOIN nr USING (r) LEFT JOIN kept USING (r)

@@ -35,19 +35,20 @@ def looped(rows, m, long_lines):
                 n = 0
                 while i + n < len(y) and j + n < len(x[s]) and y[i + n] == x[s][j + n]:
                     n += 1
-                runs.append((i, n))
+                runs.append((i, n, False))
             long = len(y[i].encode()) > 500 or len(WORD.findall(y[i].lower())) > 50
             if long_lines and long and first[1, (y[i],)] != (r, i):
-                runs.append((i, 1))
-        runs.sort(key=lambda z: (z[0], -z[1]))
+                runs.append((i, 1, True))
+        runs.sort(key=lambda z: (z[0], -z[1], z[2]))
         kept, reach = [], 0
-        for i, n in runs:
+        for i, n, alone in runs:
             if i + n > reach:
-                kept.append((i, n))
+                kept.append((i, n, alone))
                 reach = i + n
-        gone = {f[k] for i, n in kept for k in range(i, i + n)}
+        gone = {f[k] for i, n, _ in kept for k in range(i, i + n)}
+        count = len(kept) - sum(a[2] and b[2] and a[0] + 1 == b[0] for a, b in zip(kept, kept[1:]))
         text = rows[r][1] if not gone else "\n".join(z for k, z in enumerate(a) if k not in gone)
-        out.append((len(f), len(gone), len(kept), text))
+        out.append((len(f), len(gone), count, text))
     return out
 
 
