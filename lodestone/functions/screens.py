@@ -86,3 +86,44 @@ def label_band(p: Column, high: float = 0.70, low: float = 0.40) -> tuple[Column
         .otherwise(F.when(p < F.lit(0.25), "clearly_non_graphics").otherwise("likely_non_graphics"))
     )
     return band, reason
+
+
+def findings(c: Column, robots: Column, pirate: Column, phones: bool = True) -> Column:
+    """All screens of a text in one struct: a verdict for each, details (screen -> what it found), forces_review, forces_reject.
+
+    robots: how the site answered (disallowed, unavailable, else allowed); pirate: the blocklist entry that the url met,
+    null or empty for none. Screens without a finding have no detail, but for rights.
+    """
+    n = lambda count, least, name: F.when(count >= least, F.concat(count.cast("string"), F.lit(f" {name}")))
+    counted = [n(times(c, SSN), 1, "SSN-like patterns"), n(times(c, ID_NUMBER), 1, "ID-number patterns"), n(emails(c), 4, "non-organizational email addresses")]
+    counted += [n(times(c, PHONE), 11, "phone-number-like strings")] if phones else []
+    listed = F.concat_ws("; ", *counted)
+    young = F.slice(F.regexp_extract_all(_text(c), F.lit(MINOR), F.lit(0)), 1, 5)
+    context = F.when(_text(c).rlike(MINOR_CONTEXT), "child-focused keywords with personal-data context: ").otherwise("child-related keywords without personal-data context: ")
+    word = F.lit(None).cast("string")
+    for name, pattern in reversed(PROHIBITED):
+        word = F.when(_text(c).rlike(pattern), F.concat(F.lit(f"prohibited content ({name}): matched '"), F.regexp_extract(_text(c), pattern, 0), F.lit("'"))).otherwise(word)
+    notices, blocked = times(c, RIGHTS), F.coalesce(pirate, F.lit("")) != ""
+    details = {
+        "pirate": F.when(blocked, F.concat(F.lit("blocklist match: "), pirate)),
+        "robots": F.when(robots == "disallowed", "robots.txt disallowed").when(robots == "unavailable", "robots.txt unavailable at fetch time (treated as allow)"),
+        "pii": F.when(listed != "", listed),
+        "minors": F.when(F.size(young) > 0, F.concat(context, F.array_join(young, ", "))),
+        "prohibited": word,
+        "rights": F.coalesce(n(notices, 5, "third-party copyright notices detected"), F.lit("no dense third-party copyright signals; not individually reviewed")),
+    }
+    verdicts = {
+        "pirate": F.when(blocked, "REJECT").otherwise("PASS"),
+        "robots": F.when(robots == "disallowed", "REJECT").otherwise("PASS"),
+        "rights": F.when(notices >= 5, "REVIEW").otherwise("PASS"),
+        "pii": F.when(listed != "", "REVIEW").otherwise("PASS"),
+        "minors": minors(c),
+        "prohibited": prohibited(c),
+    }
+    some = lambda names, verdict: F.array_contains(F.array(*[verdicts[k] for k in names]), verdict)
+    return F.struct(
+        *[v.alias(k) for k, v in verdicts.items()],
+        F.map_filter(F.create_map(*[x for k, v in details.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull()).alias("details"),
+        some(("rights", "pii", "minors"), "REVIEW").alias("forces_review"),
+        some(("pirate", "robots", "prohibited"), "REJECT").alias("forces_reject"),
+    )

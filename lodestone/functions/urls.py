@@ -84,3 +84,18 @@ def absolute(base: Column, link: Column) -> Column:
         .when(rest.startswith("//"), F.concat(scheme, F.lit(":"), rest)).otherwise(F.concat(scheme, F.lit("://"), host, F.when(path == "", kept).otherwise(F.concat(resolved, tail))))
     )
     return F.when(F.coalesce(domain(out), F.lit("")) == "", F.lit("")).otherwise(out)
+
+
+def base_delay(host: Column, overrides: dict[str, float], default: float, crawl_delay: Column) -> Column:
+    """Seconds between requests to a host: the first override whose name is the host's or one of its suffixes, else the default; never less than the site's own crawl delay."""
+    h, out = F.lower(host), F.lit(float(default))
+    for name, delay in reversed(overrides.items()):
+        out = F.when((h == name) | h.endswith(f".{name}"), F.lit(float(delay))).otherwise(out)
+    return F.greatest(out, F.coalesce(crawl_delay.cast("double"), F.lit(0.0)))
+
+
+def folder_id(url: Column) -> Column:
+    """Id of the shared folder that a url of a drive names; '' for other urls and plain names."""
+    last = F.element_at(F.split(url, "/folders/"), -1)
+    named = url.contains("drive.google.com") & url.contains("/folders/")
+    return F.when(named, F.regexp_replace(F.substring_index(last, "?", 1), "^/+|/+$", "")).otherwise("")

@@ -16,10 +16,11 @@ from lodestone.functions import urls as U
 from lodestone.operators import dedup, delivery, drawings, events as E, filtering, images, packaging, pictures, registry as R
 from lodestone.operators.ordered import running
 from lodestone.plans import delivery as delivery_plans
+from lodestone.plans import flow
 from lodestone.sources import sinks
 
-QUERIES: dict = dict(delivery_plans.QUERIES)
-SQL: dict[str, str] = dict(delivery_plans.SQL)
+QUERIES: dict = dict(delivery_plans.QUERIES) | flow.QUERIES
+SQL: dict[str, str] = dict(delivery_plans.SQL) | flow.SQL
 
 
 def query(sql: str | None = None):
