@@ -57,27 +57,46 @@ def runs_of(ends: list[int], min_bytes: int) -> list[int]:
     return np.unique(starts << 32 | (stops - starts)).tolist()
 
 
-def _runs(rows: DataFrame, min_bytes: int) -> DataFrame:
-    """_row, _id and, of each of runs_of(), the digest (128 bits: d and e) and the place (at), from _row, _id, text."""
+#: Runs that a Python worker hands on at once, and rows whose kept texts it hands on at once: they bound its memory.
+BLOCK, ROWS = 1 << 14, 256
+
+
+def _runs(rows: DataFrame, min_bytes: int, half: bool = False) -> DataFrame:
+    """A row for each of runs_of(): _row, _id, its digest (128 bits: d and e) and its place (at), from _row, _id, text; with `half` d alone, from text."""
 
     def run(batches):
         import pyarrow as pa
-        from xxhash import xxh3_128_intdigest as digest
+        from xxhash import xxh3_128_digest as digest
+
+        def block(b, digests, counts, places):
+            d, e = (np.frombuffer(b"".join(digests), ">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64).reshape(-1, 2).T.copy()
+            if half:
+                return pa.RecordBatch.from_arrays([pa.array(d)], names=["d"])
+            of = pa.array(np.repeat(list(counts), list(counts.values())))
+            return pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(1).take(of), pa.array(d), pa.array(e), pa.array(places, pa.int64())], names=["_row", "_id", "d", "e", "at"])
 
-        half, low = 1 << 63, (1 << 64) - 1
         for b in batches:
-            high, rest, places = [], [], []
-            for t in b.column(2).to_pylist():
-                data = (t or "").encode(errors="replace")
+            digests, counts, places = [], {}, []
+            for i, t in enumerate(b.column(b.num_columns - 1)):
+                data = (t.as_py() or "").encode(errors="replace")
                 at = runs_of(chunk_ends(data), min_bytes)
-                found = [digest(data[(a := x >> 32) : a + (x & 0xFFFFFFFF)]) for x in at]
-                high.append([(x >> 64) - half for x in found])
-                rest.append([(x & low) - half for x in found])
-                places.append(at)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, longs) for x in (high, rest, places))], names=["_row", "_id", "d", "e", "at"])
-
-    return rows.mapInArrow(run, f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, d array<long>, e array<long>, at array<long>")
+                lo = 0
+                while lo < len(at):
+                    now = at[lo : lo + BLOCK - len(digests)]
+                    lo += len(now)
+                    digests += [digest(data[(a := x >> 32) : a + (x & 0xFFFFFFFF)]) for x in now]
+                    counts[i] = len(now)
+                    if not half:
+                        places += now
+                    if len(digests) == BLOCK:
+                        yield block(b, digests, counts, places)
+                        digests, counts, places = [], {}, []
+            if digests:
+                yield block(b, digests, counts, places)
+
+    if half:
+        return rows.select("text").mapInArrow(run, "d long")
+    return rows.mapInArrow(run, f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, d long, e long, at long")
 
 
 def trimmed(data: bytes, a: int, e: int) -> tuple[int, int]:
@@ -100,13 +119,11 @@ def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "
     """
     rows = with_row_key(anchored(docs).select(id_col, text_col)).select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    found = _runs(rows, min_bytes)
     # Half of the digest finds runs that may repeat; only those are written, with the whole digest.
-    often = cut_table(found.select(F.explode("d").alias("d")).groupBy("d").agg(F.count("*").alias("n")).where("n > 1"))
+    often = cut_table(_runs(rows, min_bytes, half=True).groupBy("d").agg(F.count("*").alias("n")).where("n > 1"))
     hot, salt = hot_keys(often, ["d"]), F.xxhash64("_row", "at")
     # at: start and length of a run in one long, which also orders the runs of a text.
-    pieces = found.select("_row", "_id", F.explode(F.arrays_zip("d", "e", "at")).alias("z")).select("_row", "_id", "z.d", "z.e", "z.at")
-    placed = cut_table(joined_salted(pieces, often.select("d"), ["d"], hot, salt))
+    placed = cut_table(joined_salted(_runs(rows, min_bytes), often.select("d"), ["d"], hot, salt))
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "at")
     first = cut_table(placed.groupBy("d", "e").agg(F.min(place).alias("first")))
     start = F.shiftright("at", 32)
@@ -120,8 +137,8 @@ def substring_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
-            names = ["_id", "text", "n_bytes", "dup_bytes", "spans", "dup_of"]
+        names = ["_id", "text", "n_bytes", "dup_bytes", "spans", "dup_of"]
+        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             out = {c: [] for c in names}
             for id_, text, found, of in zip(*(b.column(k).to_pylist() for k in range(4))):
                 data = (text or "").encode(errors="replace")
