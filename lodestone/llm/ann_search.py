@@ -59,6 +59,7 @@ class Index:
         left = sample - self.centers[assigned(sample, self.centers)]
         self.parts = [slice(i, min(i + PART, sample.shape[1])) for i in range(0, sample.shape[1], PART)]
         self.books = [kmeans(left[:, p], CODES) for p in self.parts]
+        self.scale = max(np.abs(a).max() for a in (self.centers, *self.books)) or 1.0
         self.probes = len(self.centers)
 
     def encoded(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,20 +74,28 @@ class Index:
         need = int(ranks[min(len(ranks) - 1, math.ceil(TARGET * len(ranks)))]) + 1 if len(ranks) else len(self.centers)
         self.probes = min(len(self.centers), max(LEAST_PROBES, need))
 
-    def sharded(self, sizes: np.ndarray) -> None:
-        """Groups neighbouring lists; parts[g] is the number of shards of group g."""
+    def sharded(self, sizes: np.ndarray, least: int) -> None:
+        """Groups neighbouring lists; parts[g] is the number of shards of group g. Raises probes until whatever lists are visited hold `least` entries, or all."""
+        self.empty = sizes == 0
+        held = np.cumsum(np.sort(sizes[~self.empty]))
+        self.probes = min(len(self.centers), max(self.probes, int(np.searchsorted(held, least)) + 1))
         groups = max(1, min(len(self.centers), -(-int(sizes.sum()) // SHARD)))
         self.group = assigned(self.centers, kmeans(self.centers, groups))
         self.parts_of = np.maximum(1, -(-np.bincount(self.group, sizes, groups).astype(np.int64) // SHARD))
 
     def probed(self, q: np.ndarray) -> np.ndarray:
         scores = q @ self.centers.T
+        scores[:, self.empty] = -np.inf
         return np.argpartition(-scores, self.probes - 1, axis=1)[:, : self.probes]
 
     def tables(self, q: np.ndarray) -> list[np.ndarray]:
         """For each part, the inner products of the queries with all codes."""
         return [(q[:, p] @ book.T).astype(np.float32) for p, book in zip(self.parts, self.books)]
 
+    def scaled(self, q: np.ndarray) -> np.ndarray:
+        """The queries in a scale in which inner products with centroids and codes fit single precision; their order stays."""
+        return q / np.abs(q).max(1, keepdims=True) / self.scale
+
     def scores(self, q: np.ndarray, tables: list[np.ndarray], cell: int, codes: np.ndarray) -> np.ndarray:
         """Inner products of queries with coded vectors of a list, by tables."""
         out = np.repeat((q @ self.centers[cell]).astype(np.float32)[:, None], len(codes), 1)
@@ -163,7 +172,7 @@ def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
     sizes = np.zeros(len(index.centers))
     for r in lists.groupBy("cell").count().collect():  # at most MOST_LISTS rows
         sizes[r["cell"]] = r["count"]
-    index.sharded(sizes)
+    index.sharded(sizes, k + 1)
     shared = spark.sparkContext.broadcast(index)
 
     def sent(batches):
@@ -195,11 +204,12 @@ def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
             visits = np.zeros((len(q), len(ix.centers)), bool)
             np.put_along_axis(visits, ix.probed(q), True, 1)
             rough = np.full((len(q), len(num)), -np.inf, np.float32)
-            tables = ix.tables(q)
+            small = ix.scaled(q)
+            tables = ix.tables(small)
             for cell, a, z in ends:
                 who = np.flatnonzero(visits[:, cell])
                 if len(who):
-                    rough[who, a:z] = ix.scores(q[who], [t[who] for t in tables], cell, codes[a:z])
+                    rough[who, a:z] = ix.scores(small[who], [t[who] for t in tables], cell, codes[a:z])
             n = min(RERANK, len(num))
             best = np.argpartition(-rough, n - 1, axis=1)[:, :n]
             for i in range(len(q)):

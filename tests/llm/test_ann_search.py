@@ -51,3 +51,26 @@ def test_ties_go_to_smaller_ids(spark):
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert got[0] == [(i, 1.0) for i in range(1, 21)] and got[20] == [(i, 1.0) for i in range(20)] and got[60] == [(i, 1.0) for i in range(20)]
     assert got[100] == [(100 + i, 1.0) for i in range(1, 21)] and got[120] == [(100 + i, 1.0) for i in range(20)]
+
+
+@pytest.mark.parametrize("factor", [1e25, 1e-25])
+def test_large_and_small_numbers(spark, factor):
+    """Inner products of 1e50 and 1e-50 have no single precision."""
+    x = np.random.default_rng(5).normal(size=(400, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = lambda df: {(r.query_id, r["rank"], r.vec_id) for r in ann_search.ann_search(df, F.col("vec_id") % 20 == 0).collect()}
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    scaled = plain.withColumn("embedding", F.transform("embedding", lambda e: e * factor))
+    want = found(plain)
+    assert len(want) == 400 and len(found(scaled) & want) >= 360
+
+
+def test_each_query_gets_its_number(spark):
+    """Nearly equal vectors fall into one list; four queries that point elsewhere visit others first."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 8)) * 1e-10
+    x[:, 0] += 1e6
+    x[::1500] = [[-1, 0.1, 0.2, 0, 0, 0, 0, 0], [-1, 0, 0, 0.3, 0, 0, 0, 0], [-2, 0, 0.1, 0, 0, 0.2, 0, 0], [-1, 0, 0, 0, 0.5, 0, 0, 0]]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    counts = ann_search.ann_search(df, F.col("vec_id") % 20 == 0).groupBy("query_id").count().collect()
+    assert len(counts) == 300 and {r["count"] for r in counts} == {20}
