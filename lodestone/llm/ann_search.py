@@ -1,11 +1,13 @@
 """Approximate nearest neighbours: inverted file with product-quantised residuals.
 
-Vectors are assigned to coarse centroids; what is left of each is quantised by
-parts. A query visits the lists of its best centroids, scores their codes by
-asymmetric distance tables, and reranks the best exactly on the original
-vectors. How many lists are visited is measured: a few queries are answered
-exactly, and as many lists are taken as hold the wanted share of their true
-neighbours. Neighbouring lists form shards, a large one is split; codes are
+Vectors are assigned to coarse centroids; of what is left of each the length is
+kept and the direction is quantised by parts, so that codes tell vectors apart
+in narrow and wide lists alike. A query visits the lists of its best centroids,
+scores their codes by asymmetric distance tables, and reranks the best exactly
+on the original vectors. How many lists are visited is measured: a few queries
+are answered exactly, and as many lists are taken as hold the wanted share of
+their true neighbours. So is how many are reranked, by the places of those
+neighbours in the order of the codes. Neighbouring lists form shards, a large one is split; codes are
 shuffled once to their shard, and a query goes to the shards that hold a list
 which it visits. Equal vectors are one entry of the index with the smallest ids
 that any query can need, which loses nothing.
@@ -25,11 +27,13 @@ from lodestone.llm.common import cut, cut_table, table
 #: Vectors that centroids and codebooks are fitted on; every vector is indexed.
 SAMPLE = 20_000
 MOST_LISTS, CODES, PART = 65_536, 256, 4
-#: Share of the true neighbours that the visited lists are to hold, queries on which that is measured, least lists visited.
-#: Entries of a shard that are reranked exactly, for each query.
-TARGET, MEASURED, LEAST_PROBES, RERANK = 0.965, 64, 16, 256
+#: Share of the true neighbours that the visited lists are to hold, and of those the share that is to be reranked; queries on
+#: which both are measured; least lists visited.
+TARGET, RERANKED, MEASURED, LEAST_PROBES = 0.97, 0.99, 128, 16
+#: Least entries of a shard that are reranked exactly, for each query.
+RERANK = 256
 #: Entries of a shard, and queries that meet it at once, about; queries that are scored at once.
-SHARD, QUERY_BLOCK, SCORED = 8192, 16_384, 256
+SHARD, QUERY_BLOCK, SCORED = 8192, 16_384, 128
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -52,20 +56,27 @@ def assigned(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Coarse centroids and codebooks for each part of the residuals."""
+    """Coarse centroids and codebooks for each part of the residuals' directions."""
 
     def __init__(self, sample: np.ndarray, lists: int):
         self.centers = kmeans(sample, lists)
-        left = sample - self.centers[assigned(sample, self.centers)]
+        left, _ = self.directed(sample, assigned(sample, self.centers))
         self.parts = [slice(i, min(i + PART, sample.shape[1])) for i in range(0, sample.shape[1], PART)]
         self.books = [kmeans(left[:, p], CODES) for p in self.parts]
-        self.scale = max(np.abs(a).max() for a in (self.centers, *self.books)) or 1.0
-        self.probes = len(self.centers)
+        self.probes, self.rerank = len(self.centers), RERANK
 
-    def encoded(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cells = assigned(x, self.centers)
+    def directed(self, x: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Directions and lengths of the residuals; no direction where nothing is left."""
         left = x - self.centers[cells]
-        return cells, np.stack([assigned(left[:, p], b).astype(np.uint8) for p, b in zip(self.parts, self.books)], 1)
+        most = np.abs(left).max(1)
+        left /= np.where(most > 0, most, 1)[:, None]
+        length = np.sqrt((left**2).sum(1))
+        return left / np.where(length > 0, length, 1)[:, None], length * most
+
+    def encoded(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        cells = assigned(x, self.centers)
+        left, lengths = self.directed(x, cells)
+        return cells, np.stack([assigned(left[:, p], b).astype(np.uint8) for p, b in zip(self.parts, self.books)], 1), lengths
 
     def measured(self, q: np.ndarray, cells: list[np.ndarray]) -> None:
         """Sets probes from queries and the lists of their true neighbours."""
@@ -93,15 +104,25 @@ class Index:
         return [(q[:, p] @ book.T).astype(np.float32) for p, book in zip(self.parts, self.books)]
 
     def scaled(self, q: np.ndarray) -> np.ndarray:
-        """The queries in a scale in which inner products with centroids and codes fit single precision; their order stays."""
-        return q / np.abs(q).max(1, keepdims=True) / self.scale
+        """The queries in a scale in which inner products with directions fit single precision; their order stays."""
+        return q / np.abs(q).max(1, keepdims=True)
 
-    def scores(self, q: np.ndarray, tables: list[np.ndarray], cell: int, codes: np.ndarray) -> np.ndarray:
-        """Inner products of queries with coded vectors of a list, by tables."""
-        out = np.repeat((q @ self.centers[cell]).astype(np.float32)[:, None], len(codes), 1)
+    def scores(self, base: np.ndarray, tables: list[np.ndarray], codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Inner products of queries with coded vectors, by tables; base: those with the vectors' centroids."""
+        out = np.zeros((len(base), len(codes)), np.float32)
         for m, table_ in enumerate(tables):
             out += table_[:, codes[:, m]]
-        return out
+        return base + out * lengths
+
+    def reranking(self, places: np.ndarray) -> None:
+        """Sets rerank from the places of true neighbours within their shards, by codes."""
+        if len(places):
+            self.rerank = max(RERANK, int(np.sort(places)[math.ceil(RERANKED * len(places)) - 1]))
+
+    def shard_of(self, cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """One number for a group of lists and the part in it."""
+        g = self.group[cells]
+        return g * int(self.parts_of.max()) + hashes % self.parts_of[g]
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -141,10 +162,10 @@ def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
         for b in batches:
             if b.num_rows:
                 v = _matrix(b.column(2), dim)
-                cells, codes = shared.value.encoded(v)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cells.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array([x.tobytes() for x in v], pa.binary())], names=["num", "first", "cell", "codes", "v"])
+                cells, codes, lengths = shared.value.encoded(v)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cells.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lengths), pa.array([x.tobytes() for x in v], pa.binary())], names=["num", "first", "cell", "codes", "length", "v"])
 
-    lists = cut_table(entries.select("num", F.col("ids")[0].alias("first"), "v").mapInArrow(coded, "num long, first long, cell int, codes binary, v binary"))
+    lists = cut_table(entries.select("num", F.col("ids")[0].alias("first"), "v").mapInArrow(coded, "num long, first long, cell int, codes binary, length double, v binary"))
     # A few queries against all entries; each task hands on its best.
     few = asked.select("num").distinct().orderBy(F.xxhash64("num"), "num").limit(MEASURED).join(entries.select("num", "v"), "num").toPandas()
     some = np.stack(few["v"].to_list()).astype(np.float64) if len(few) else np.empty((0, dim))
@@ -153,26 +174,57 @@ def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
     def nearest(batches):
         import pyarrow as pa
 
-        best = [(np.empty(0), np.empty(0, np.int64)) for _ in own]
-        for b in batches:
-            num, cell, v = b.column(0).to_numpy(), b.column(1).to_numpy(), np.frombuffer(b"".join(b.column(2).to_pylist())).reshape(-1, dim)
+        best = [(np.empty(0), np.empty((0, 2), np.int64)) for _ in own]
+        for b in (b.slice(at, 2048) for b in batches for at in range(0, b.num_rows, 2048)):
+            num, first, v = b.column(0).to_numpy(), b.column(1).to_numpy(), np.frombuffer(b"".join(b.column(2).to_pylist())).reshape(-1, dim)
             scores = some @ v.T
             scores[own[:, None] == num[None, :]] = -np.inf
-            for i, (s, c) in enumerate(best):
-                s, c = np.concatenate([s, scores[i]]), np.concatenate([c, cell])
-                top = np.argsort(-s)[:k]
-                best[i] = s[top], c[top]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(own)), pa.int32()), pa.array([s for s, _ in best], pa.list_(pa.float64())), pa.array([c for _, c in best], pa.list_(pa.int64()))], names=["i", "s", "c"])
-
+            for i, (s, e) in enumerate(best):
+                some_of = np.flatnonzero(scores[i] >= np.partition(scores[i], -k)[-k]) if len(num) > k else np.arange(len(num))
+                s, e = np.concatenate([s, scores[i, some_of]]), np.concatenate([e, np.stack([-first[some_of], num[some_of]], 1)])
+                top = np.lexsort((-e[:, 0], -s))[:k]
+                best[i] = s[top], e[top]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(own)), pa.int32()), pa.array([s for s, _ in best], pa.list_(pa.float64())), pa.array([e[:, 0] for _, e in best], pa.list_(pa.int64())), pa.array([e[:, 1] for _, e in best], pa.list_(pa.int64()))], names=["i", "s", "f", "num"])
+
+    true = {}
     if len(own):
-        true = lists.select("num", "cell", "v").mapInArrow(nearest, "i int, s array<double>, c array<long>").select("i", F.inline(F.arrays_zip("s", "c")))
-        true = true.where(F.col("s") > float("-inf")).groupBy("i").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "c")), asc=False), 1, k).alias("a")).collect()
-        true = {r.i: np.array([x.c for x in r.a]) for r in true}
-        index.measured(some[sorted(true)], [true[i] for i in sorted(true)])
+        near = lists.select("num", "first", "v").mapInArrow(nearest, "i int, s array<double>, f array<long>, num array<long>").select("i", F.inline(F.arrays_zip("s", "f", "num")))
+        near = near.where(F.col("s") > float("-inf")).groupBy("i").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "f", "num")), asc=False), 1, k).alias("a")).select("i", F.explode("a.num").alias("num"))
+        for r in F.broadcast(near).join(lists.select("num", F.xxhash64("num").alias("h"), "cell", "codes", "length"), "num").collect():  # MEASURED * k rows
+            true.setdefault(r.i, []).append(r)
+        index.measured(some[sorted(true)], [np.array([r.cell for r in true[i]]) for i in sorted(true)])
     sizes = np.zeros(len(index.centers))
     for r in lists.groupBy("cell").count().collect():  # at most MOST_LISTS rows
         sizes[r["cell"]] = r["count"]
     index.sharded(sizes, k + 1)
+    aims = []  # of measured queries: their number, then the shards of true neighbours in visited lists, and scores by code
+    for i, rows in true.items():
+        c, h, lengths = (np.array([r[name] for r in rows]) for name in ("cell", "h", "length"))
+        small = index.scaled(some[i : i + 1])
+        rough = index.scores(small @ index.centers[c].T, index.tables(small), np.frombuffer(b"".join(r.codes for r in rows), np.uint8).reshape(len(rows), -1), lengths)[0]
+        seen = np.isin(c, index.probed(some[i : i + 1])[0])
+        aims.append((i, index.shard_of(c, h)[seen], (rough - 1e-9 * np.abs(rough))[seen]))
+    shared = spark.sparkContext.broadcast(index)
+
+    def above(batches):
+        """How many entries of their shards come before the true neighbours of measured queries."""
+        import pyarrow as pa
+
+        ix, counts = shared.value, [np.zeros(len(s), np.int64) for _, s, _ in aims]
+        visits, small = np.zeros((len(some), len(ix.centers)), bool), ix.scaled(some)
+        np.put_along_axis(visits, ix.probed(some), True, 1)
+        tables, base = ix.tables(small), small @ ix.centers.T
+        for b in (b.slice(at, 2048) for b in batches for at in range(0, b.num_rows, 2048)):
+            hashes, cells, lengths = (b.column(n).to_numpy() for n in (0, 1, 3))
+            codes, shard = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(len(cells), -1), ix.shard_of(cells, hashes)
+            rough = np.where(visits[:, cells], ix.scores(base[:, cells], tables, codes, lengths), -np.inf)
+            for n, (i, shards, least) in zip(counts, aims):
+                n += np.count_nonzero((rough[i] >= least[:, None]) & (shard == shards[:, None]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(aims)), pa.int32()), pa.array(counts, pa.list_(pa.int64()))], names=["a", "n"])
+
+    if aims:
+        places = lists.select(F.xxhash64("num"), "cell", "codes", "length").mapInArrow(above, "a int, n array<long>").select("a", F.posexplode("n").alias("j", "n")).groupBy("a", "j").agg(F.sum("n").alias("n"))
+        index.reranking(np.array([r.n for r in places.collect()], np.int64))  # MEASURED * k rows at most
     shared = spark.sparkContext.broadcast(index)
 
     def sent(batches):
@@ -193,24 +245,24 @@ def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
         if not len(lists) or not len(queries):
             return pd.DataFrame({c: [] for c in names})
         ix, out = shared.value, {c: [] for c in names}
-        num, first, cells = (lists[c].to_numpy() for c in ("num", "first", "cell"))
+        num, first, cells, lengths = (lists[c].to_numpy() for c in ("num", "first", "cell", "length"))
         codes, v = np.frombuffer(b"".join(lists["codes"]), np.uint8).reshape(len(num), -1), np.frombuffer(b"".join(lists["v"])).reshape(-1, dim)
         order = np.argsort(cells, kind="stable")
-        num, first, cells, codes, v = num[order], first[order], cells[order], codes[order], v[order]
+        num, first, cells, lengths, codes, v = num[order], first[order], cells[order], lengths[order], codes[order], v[order]
         of, qnum = np.frombuffer(b"".join(queries["v"])).reshape(-1, dim), queries["num"].to_numpy()
         ends = [(c, *np.searchsorted(cells, [c, c + 1])) for c in np.unique(cells)]
         for at in range(0, len(of), SCORED):
             q = of[at : at + SCORED]
             visits = np.zeros((len(q), len(ix.centers)), bool)
             np.put_along_axis(visits, ix.probed(q), True, 1)
-            rough = np.full((len(q), len(num)), -np.inf, np.float32)
+            rough = np.full((len(q), len(num)), -np.inf)
             small = ix.scaled(q)
             tables = ix.tables(small)
             for cell, a, z in ends:
                 who = np.flatnonzero(visits[:, cell])
                 if len(who):
-                    rough[who, a:z] = ix.scores(small[who], [t[who] for t in tables], cell, codes[a:z])
-            n = min(RERANK, len(num))
+                    rough[who, a:z] = ix.scores((small[who] @ ix.centers[cell])[:, None], [t[who] for t in tables], codes[a:z], lengths[a:z])
+            n = min(ix.rerank, len(num))
             best = np.argpartition(-rough, n - 1, axis=1)[:, :n]
             for i in range(len(q)):
                 there = best[i][np.isfinite(rough[i, best[i]])]
@@ -227,7 +279,7 @@ def ann_search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
     met = asking.groupBy("g").count().select("g", F.ceil(F.col("count") / QUERY_BLOCK).cast("int").alias("blocks"))
     met = F.broadcast(cut(met))  # at most MOST_LISTS rows
     shards = lists.join(cell_of, "cell").join(groups, "g").join(met, "g").withColumn("part", F.pmod(F.xxhash64("num"), F.col("parts")).cast("int"))
-    shards = shards.select("g", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "num", "first", "cell", "codes", "v")
+    shards = shards.select("g", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "num", "first", "cell", "codes", "length", "v")
     asking = asking.join(groups, "g").join(met, "g").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
     asking = asking.select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "num", "v")
     found = shards.groupBy("g", "part", "block").cogroup(asking.groupBy("g", "part", "block")).applyInPandas(searched, "qnum long, score array<double>, first array<long>, num array<long>")

@@ -74,3 +74,12 @@ def test_each_query_gets_its_number(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     counts = ann_search.ann_search(df, F.col("vec_id") % 20 == 0).groupBy("query_id").count().collect()
     assert len(counts) == 300 and {r["count"] for r in counts} == {20}
+
+
+def test_clusters_of_different_widths(spark):
+    """In a narrow cluster of many vectors, codes made for wide ones don't tell them apart."""
+    rng = np.random.default_rng(6)
+    of, width = rng.integers(0, 10, 8000), np.where(np.arange(10) < 7, 10.0 ** -np.arange(1, 11), 1)
+    x = rng.normal(size=(10, 16))[of] + rng.normal(size=(8000, 16)) * width[of, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert recall(spark, df) >= 0.95
