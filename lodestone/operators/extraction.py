@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.operators.dedup import hamming_pairs
+from lodestone.operators.dedup import first_near
 
 
 def earliest_near(hashes: DataFrame, distance: int) -> DataFrame:
@@ -14,10 +14,8 @@ def earliest_near(hashes: DataFrame, distance: int) -> DataFrame:
     Equal hashes are one row before they meet, however many pages have them.
     """
     least = hashes.where("phash IS NOT NULL").groupBy("phash").agg(F.min("file_id").alias("file_id"))
-    pairs = hamming_pairs(least.select(F.col("phash").alias("id"), F.col("phash").alias("h")), distance)
-    both = pairs.select(F.col("left_id").alias("phash"), F.col("right_id").alias("other")).union(pairs.select(F.col("right_id").alias("phash"), F.col("left_id").alias("other")))
-    met = both.join(least.withColumnsRenamed({"phash": "other", "file_id": "near_file"}), "other").select("phash", "near_file")
-    return met.union(least.select("phash", F.col("file_id").alias("near_file"))).groupBy("phash").agg(F.min("near_file").alias("near_file"))
+    near = first_near(least.select(F.col("file_id").alias("place"), "file_id", F.col("phash").alias("h")), distance)
+    return least.join(near.select(F.col("h").alias("phash"), "first"), "phash", "left").select("phash", F.coalesce("first", "file_id").alias("near_file"))
 
 
 def extracted(files: DataFrame, pages: DataFrame, distance: int, inside: DataFrame | None = None) -> DataFrame:

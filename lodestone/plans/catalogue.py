@@ -405,9 +405,7 @@ PAGE_HASHES = "h AS (SELECT vec_id AS id, vec_id % 7 AS file_id, list_sum([CASE
 def near_dup_flags(spark, d):
     """A page is a near duplicate if an earlier page of another file is within the distance."""
     h = _page_hashes(spark, d)
-    of = h.select("id", "file_id")
-    pairs = dedup.hamming_pairs(h, 18).join(of.withColumnsRenamed({"id": "left_id", "file_id": "lf"}), "left_id").join(of.withColumnsRenamed({"id": "right_id", "file_id": "rf"}), "right_id")
-    later = pairs.where("lf <> rf").select(F.col("right_id").alias("id")).distinct().withColumn("hit", F.lit(True))
+    later = dedup.first_near(h.withColumnRenamed("id", "place"), 18).select(F.col("place").alias("id")).distinct().withColumn("hit", F.lit(True))
     return h.join(later, "id", "left").select("id", F.coalesce("hit", F.lit(False)).alias("is_duplicate"))
 
 

@@ -61,6 +61,28 @@ def test_hamming_pairs_find_all(spark):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_hashes_meet_without_a_join(spark):
+    """At 18 bits nearly all hashes share a band: joins by bands made more rows than there are pairs."""
+    rnd = random.Random(4)
+    base = [rnd.getrandbits(63) for _ in range(20)]
+    rows = [(i, i % 3, rnd.choice(base) ^ sum(1 << k for k in rnd.sample(range(64), rnd.randrange(12))) if i % 2 else rnd.getrandbits(64)) for i in range(700)]
+    rows = [(i, f, h - (1 << 64) if h >> 63 else h) for i, f, h in rows] + [(700, 1, None)]
+    bits = lambda a, b: bin((a ^ b) & (2**64 - 1)).count("1")
+    df = spark.createDataFrame(rows, "id long, file_id long, h long")
+    pairs = dedup.hamming_pairs(df, 18)
+    assert "Join" not in pairs._jdf.queryExecution().toString()
+    want = {(a, b, bits(x, y)) for a, _, x in rows[:-1] for b, _, y in rows[:-1] if a < b and bits(x, y) <= 18}
+    assert sorted(map(tuple, pairs.collect())) == sorted(want) == sorted(map(tuple, dedup.hamming_pairs(df, 18, most=90).collect()))
+    first = {}
+    for a, f, x in rows[:-1]:
+        there = [b for b, g, y in rows[:a] if g != f and bits(x, y) <= 18]
+        if there:
+            first[a] = min(there)
+    for most in (None, 90):
+        assert {r.place: r.first for r in dedup.first_near(df.withColumnRenamed("id", "place"), 18, most).collect()} == first
+    assert 0 < len(first) < 700
+
+
 def test_breaker_and_latch(spark):
     t = datetime(2024, 1, 1)
     rows = [(1, i, t + timedelta(hours=h), f) for i, (h, f) in enumerate([(0, True), (1, True), (2, True), (3, True), (60, True), (61, False), (62, True), (63, True), (64, True), (200, False)])]
